@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dialoom.session import cut_lineage
 
-from . import mixture, tokens
+from . import mixture, reading, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -33,10 +34,25 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.share_report(_mixture(spark, folder), _table(spark, folder, "mix_targets"))
 
 
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = reading.reading_levels(_table(spark, folder, "documents"), _table(spark, folder, "reading_labels"))
+    return found.select("doc_id", "level").distinct()
+
+
+def p9_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus by source and level."""
+    docs = _table(spark, folder, "documents")
+    found = reading.reading_levels(docs, _table(spark, folder, "reading_labels"))
+    return docs.select("doc_id", "source").join(found, "doc_id").groupBy("source", "level").agg(
+        F.count("*").alias("n_docs"), F.round(F.avg("score"), 3).alias("mean_score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_ids": p7_ids,
     "p8_mixture": p8_mixture,
     "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_profile": p9_profile,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
