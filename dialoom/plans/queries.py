@@ -1,4 +1,42 @@
 """The core queries: name -> (session, folder of the tables) -> result."""
 
-QUERIES = {}
-ORACLE_SQL = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from dialoom.operators import inlining
+
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return inlining.child_links(table(spark, folder, "raw_records")).distinct()
+
+
+def p3_schema(spark: SparkSession, folder: str) -> DataFrame:
+    return inlining.schema_graph(table(spark, folder, "raw_records"))
+
+
+def _shredded(spark: SparkSession, folder: str) -> DataFrame:
+    raw = table(spark, folder, "raw_records")
+    return inlining.shred(raw, inlining.table_types(inlining.schema_graph(raw)) | set(inlining.CHILD_FIELDS))
+
+
+def p3_candidates(spark: SparkSession, folder: str) -> DataFrame:
+    return inlining.flat_table(_shredded(spark, folder), "ocr_candidates", ["engine", "text", "confidence"])
+
+
+def p3_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return inlining.flat_table(_shredded(spark, folder), "lines", ["text", "box.x", "box.y", "box.w", "box.h", "conf"])
+
+
+QUERIES = {
+    "p3_found": p3_found,
+    "p3_schema": p3_schema,
+    "p3_candidates": p3_candidates,
+    "p3_lines": p3_lines,
+}
+
+ORACLE_SQL: dict[str, str] = {}
