@@ -9,13 +9,26 @@ from pyspark.sql import functions as F
 
 from dialoom.session import cut_lineage
 
-from . import mixture, reading, tokens
+from . import lookalike, mixture, reading, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _forms(spark: SparkSession, folder: str) -> DataFrame:
+    return lookalike.normal_forms(_table(spark, folder, "dialogue_events"), ["video_id", "event_id"], ["speaker", "text"])
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return _forms(spark, folder).select("video_id", "event_id", "field").distinct()
+
+
+def p5_forms(spark: SparkSession, folder: str) -> DataFrame:
+    """The values that needed another form, with it and the number of events."""
+    return _forms(spark, folder).groupBy("field", "value", "normal").agg(F.count("*").alias("n_events"))
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_corpus(_table(spark, folder, "documents"))
 
@@ -48,6 +61,8 @@ def p9_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p5_found": p5_found,
+    "p5_forms": p5_forms,
     "p7_ids": p7_ids,
     "p8_mixture": p8_mixture,
     "p8_shares": p8_shares,
