@@ -117,7 +117,7 @@ def with_rates(docs: DataFrame, balance: dict[str, Balance], id_col: str, seed:
     return joined.filter(F.col("n_tokens") > 0).withColumn("rate", rate).withColumn("u", place)
 
 
-def round_rates(rated: DataFrame, balance: dict[str, Balance], buckets: int = 4096) -> None:
+def round_rates(rated: DataFrame, balance: dict[str, Balance], buckets: int = 1024) -> None:
     """Sets the shift of every source: a document gets one more copy where u < fraction + shift.
 
     Without a shift the rounding is unbiased but off by chance; the shift meets the goal to about a

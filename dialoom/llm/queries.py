@@ -9,13 +9,23 @@ from pyspark.sql import functions as F
 
 from dialoom.session import cut_lineage
 
-from . import lookalike, mixture, reading, tokens
+from . import lookalike, mixture, reading, runs, tokens
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.collapse_runs(_table(spark, folder, "dialogue_events"))
+    return found.filter("n_events > 1").select("video_id", "first_event_id", "last_event_id").distinct()
+
+
+def p1_collapsed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event, runs as one with their count and duration."""
+    return runs.collapse_runs(_table(spark, folder, "dialogue_events"))
+
+
 def _forms(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.normal_forms(_table(spark, folder, "dialogue_events"), ["video_id", "event_id"], ["speaker", "text"])
 
@@ -61,6 +71,8 @@ def p9_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_collapsed": p1_collapsed,
     "p5_found": p5_found,
     "p5_forms": p5_forms,
     "p7_ids": p7_ids,
