@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dialoom.session import cut_lineage
 
-from . import lookalike, mixture, reading, runs, tokens
+from . import lookalike, mixture, reading, runs, tokens, truncation
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +26,15 @@ def p1_collapsed(spark: SparkSession, folder: str) -> DataFrame:
     return runs.collapse_runs(_table(spark, folder, "dialogue_events"))
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.detect_cuts(_table(spark, folder, "dialogue_events")).select("video_id", "event_id").distinct()
+
+
+def p2_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """Per capture source the share of events that were cut."""
+    return truncation.cut_shares(_table(spark, folder, "dialogue_events"))
+
+
 def _forms(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.normal_forms(_table(spark, folder, "dialogue_events"), ["video_id", "event_id"], ["speaker", "text"])
 
@@ -73,6 +82,8 @@ def p9_profile(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_collapsed": p1_collapsed,
+    "p2_found": p2_found,
+    "p2_shares": p2_shares,
     "p5_found": p5_found,
     "p5_forms": p5_forms,
     "p7_ids": p7_ids,
