@@ -142,6 +142,16 @@ def skeleton(word: str) -> str:
     return word.translate(_TO_SKELETON)
 
 
+_LETTERS = str.maketrans({c: r for c, r in _SKELETON.items() if c not in LOOKALIKE_KANJI and c not in LOOKALIKE_KANA})
+_TO_KANA = str.maketrans(LOOKALIKE_KANJI, LOOKALIKE_KANA)
+
+
+def comparable(text: str) -> str:
+    """The text with look-alike letters as Latin ones, and look-alike Chinese characters as katakana inside katakana only."""
+    text = text.translate(_LETTERS)
+    return _KANA_RUN.sub(lambda m: m[0].translate(_TO_KANA), text)
+
+
 def _kinds(word: str) -> set[str]:
     return {s for s in map(script, word) if s}
 

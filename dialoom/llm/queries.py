@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dialoom.session import cut_lineage
 
-from . import lookalike, mixture, reading, runs, tokens, truncation
+from . import lookalike, mixture, names, reading, runs, tokens, truncation
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,6 +35,17 @@ def p2_shares(spark: SparkSession, folder: str) -> DataFrame:
     return truncation.cut_shares(_table(spark, folder, "dialogue_events"))
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = names.link_events(_table(spark, folder, "dialogue_events"), _table(spark, folder, "video_runs"), _table(spark, folder, "work_configs"))
+    return found.select("video_id", "event_id", "canonical").distinct()
+
+
+def p4_spellings(spark: SparkSession, folder: str) -> DataFrame:
+    """The spellings of each member of a cast with the number of events."""
+    found = names.link_events(_table(spark, folder, "dialogue_events"), _table(spark, folder, "video_runs"), _table(spark, folder, "work_configs"))
+    return found.groupBy("canonical", "speaker").agg(F.count("*").alias("n_events"))
+
+
 def _forms(spark: SparkSession, folder: str) -> DataFrame:
     return lookalike.normal_forms(_table(spark, folder, "dialogue_events"), ["video_id", "event_id"], ["speaker", "text"])
 
@@ -84,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_collapsed": p1_collapsed,
     "p2_found": p2_found,
     "p2_shares": p2_shares,
+    "p4_found": p4_found,
+    "p4_spellings": p4_spellings,
     "p5_found": p5_found,
     "p5_forms": p5_forms,
     "p7_ids": p7_ids,

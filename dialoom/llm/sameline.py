@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import regex
 
-from .lookalike import plain_points, skeleton
+from .lookalike import comparable, plain_points
 
 # Words that change what a line says; English, then Spanish.
 MEANING_WORDS = frozenset(
@@ -62,7 +62,7 @@ def tokens(text: str) -> tuple[tuple[str, ...], bool]:
     """The words of a text in comparable form, single characters in Chinese and Japanese; whether most are such characters."""
     plain = plain_points(text)
     if not plain.isascii():
-        plain = skeleton(plain)
+        plain = comparable(plain)
     found = tuple(w.replace("’", "'") for w in _TOKEN.findall(plain.casefold()))
     single = sum(len(w) == 1 and ord(w) >= 0x2E80 for w in found)
     return found, 2 * single > len(found)
