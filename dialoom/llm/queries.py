@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dialoom.session import cut_lineage
 
-from . import lookalike, mixture, names, reading, runs, tokens, truncation
+from . import lookalike, mixture, names, reading, runs, tokens, truncation, turns
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -59,6 +59,20 @@ def p5_forms(spark: SparkSession, folder: str) -> DataFrame:
     return _forms(spark, folder).groupBy("field", "value", "normal").agg(F.count("*").alias("n_events"))
 
 
+def _turns(spark: SparkSession, folder: str) -> DataFrame:
+    return turns.speaker_turns(_table(spark, folder, "spoken_events"), _table(spark, folder, "video_runs"), _table(spark, folder, "work_configs"))
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    found = _turns(spark, folder).filter("speaker is not null")
+    return found.select("video_id", "first_event_id", "last_event_id", "speaker").distinct()
+
+
+def p6_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """The clean turns with their text and times."""
+    return _turns(spark, folder)
+
+
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.encode_corpus(_table(spark, folder, "documents"))
 
@@ -99,6 +113,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_spellings": p4_spellings,
     "p5_found": p5_found,
     "p5_forms": p5_forms,
+    "p6_found": p6_found,
+    "p6_turns": p6_turns,
     "p7_ids": p7_ids,
     "p8_mixture": p8_mixture,
     "p8_shares": p8_shares,
