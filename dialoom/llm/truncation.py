@@ -42,7 +42,10 @@ _MARK = re.compile(r"\s*(?:\[(?:…|\.\.\.)\]|\((?:…|\.\.\.)\)|…+|\.{2,}|>>>
 _TERMINATOR = "[.!?。！？…—♪♥]"
 _CLOSER = "[\"'”’」』)）\\]］】»〉》〕]"
 _END = re.compile(rf"{_TERMINATOR}+{_CLOSER}*\s*$|{_CLOSER}\s*$")
-_SENTENCE = re.compile(r"[.!?。！？…—]+")
+_SENTENCE = re.compile(r"([.!?。！？…—]+)")
+_SOFT = re.compile(r"…|\.{2,}")
+#: What follows a context: the end of a sentence, the end without a terminator, more text, nothing to count, the end with an ellipsis.
+_CLOSED, _STOPS, _GOES_ON, _IGNORED, _SOFTLY = range(5)
 _MASK = np.uint64(FILTER_BITS - 1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -107,11 +110,11 @@ def _folded(sentence: str) -> str:
     return plain.capitalize() if len(plain) > 6 and plain.isupper() else plain
 
 
-def _split(text: str) -> tuple[list[str], str]:
-    """The closed sentences of a text and its unclosed tail, folded for comparison."""
+def _split(text: str) -> tuple[list[tuple[str, int]], str]:
+    """The closed sentences of a text with how they end, and its unclosed tail, folded for comparison."""
     parts = _SENTENCE.split(text)
-    closed = [_folded(p) for p in parts[:-1]]
-    return [c for c in closed if c], _folded(parts[-1])
+    closed = [(_folded(p), _SOFTLY if _SOFT.search(e) else _CLOSED) for p, e in zip(parts[:-1:2], parts[1::2])]
+    return [c for c in closed if c[0]], _folded(parts[-1])
 
 
 def _tail(text: str) -> str:
@@ -195,7 +198,7 @@ def _slices(texts: list[str], limit: int = 150_000) -> Iterator[tuple[int, int]]
 
 
 def _suspects(events: DataFrame, limits: _Limits) -> DataFrame:
-    """(video_id, event_id, source, verdict, at_limit, unclosed, contexts): every event whose text is not plainly whole."""
+    """(video_id, event_id, source, verdict, at_limit, marked, unclosed, contexts): every event whose text is not plainly whole."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -203,6 +206,7 @@ def _suspects(events: DataFrame, limits: _Limits) -> DataFrame:
             batch = batch[batch["verdict"] != "whole"].reset_index(drop=True)
             texts = batch["text"].tolist()
             batch["at_limit"] = [limits.at(s, t) for s, t in zip(batch["source"], texts)]
+            batch["marked"] = [bool(_MARK.search(t)) for t in texts]
             batch["unclosed"] = [bool(read_ending(t).unclosed) for t in texts]
             contexts: list[list[int]] = [[] for _ in texts]
             tails = [(_tail(t), k) for k, t in enumerate(texts) if batch["verdict"][k] == "ask"]
@@ -212,23 +216,23 @@ def _suspects(events: DataFrame, limits: _Limits) -> DataFrame:
                 for column in np.flatnonzero(last):
                     contexts[tails[low + owner[column]][1]] = hashed[:, column].view(np.int64).tolist()
             batch["contexts"] = contexts
-            yield batch[["video_id", "event_id", "source", "verdict", "at_limit", "unclosed", "contexts"]]
+            yield batch[["video_id", "event_id", "source", "verdict", "at_limit", "marked", "unclosed", "contexts"]]
 
-    return events.mapInPandas(run, "video_id string, event_id string, source string, verdict string, at_limit boolean, unclosed boolean, contexts array<bigint>")
+    return events.mapInPandas(run, "video_id string, event_id string, source string, verdict string, at_limit boolean, marked boolean, unclosed boolean, contexts array<bigint>")
 
 
 def _context_counts(events: DataFrame, limits: _Limits, wanted: np.ndarray) -> DataFrame:
-    """(hash, closed, open, on): how often the corpus ends a sentence after a context, stops there without
-    a terminator, or goes on. wanted: the filter, one bit per hash value modulo FILTER_BITS."""
+    """(hash, closed, soft, open, on): how often the corpus ends a sentence after a context, with an ellipsis,
+    stops there without a terminator, or goes on. wanted: the filter, one bit per hash value modulo FILTER_BITS."""
     shared = events.sparkSession.sparkContext.broadcast(np.packbits(wanted))  # FILTER_BITS / 8 bytes, whatever the data
 
     def count(bits: np.ndarray, sentences: list[str], ends: list[int]) -> pd.DataFrame:
         hashed, owner, last = _hashes(sentences)
-        kind = np.where(last, np.array(ends)[owner], 2)
-        rows, columns = np.nonzero((bits[(hashed & _MASK).astype(np.int64)] > 0) & (hashed != 0) & (kind < 3)[None, :])
+        kind = np.where(last, np.array(ends)[owner], _GOES_ON)
+        rows, columns = np.nonzero((bits[(hashed & _MASK).astype(np.int64)] > 0) & (hashed != 0) & (kind != _IGNORED)[None, :])
         keys, inverse = np.unique(hashed[rows, columns], return_inverse=True)
-        sums = [np.bincount(inverse[kind[columns] == k], minlength=len(keys)) for k in range(3)]
-        return pd.DataFrame({"hash": keys.view(np.int64), "closed": sums[0], "open": sums[1], "on": sums[2]})
+        sums = {n: np.bincount(inverse[kind[columns] == k], minlength=len(keys)) for n, k in (("closed", _CLOSED), ("soft", _SOFTLY), ("open", _STOPS), ("on", _GOES_ON))}
+        return pd.DataFrame({"hash": keys.view(np.int64), **sums})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.unpackbits(shared.value)
@@ -241,18 +245,18 @@ def _context_counts(events: DataFrame, limits: _Limits, wanted: np.ndarray) -> D
                     verdict = _judge(source, text, limits)
                     marked = verdict == "ask" and bool(_MARK.search(text))
                     closed, tail = _split(text)
-                    sentences += closed
-                    ends += [0] * len(closed)
+                    sentences += [c for c, _ in closed]
+                    ends += [e for _, e in closed]
                     if marked and closed and not tail and limits.at(source, text):
-                        ends[-1] = 3  # the mark may stand at a cut
+                        ends[-1] = _IGNORED  # the mark may stand at a cut
                     if tail:
                         sentences.append(tail)
-                        ends.append(1 if verdict in ("whole", "ask") and not limits.at(source, text) else 3)
+                        ends.append(_STOPS if verdict in ("whole", "ask") and not limits.at(source, text) else _IGNORED)
                 if sentences:
                     yield count(bits, sentences, ends)
 
-    counted = events.select("source", "text").mapInPandas(run, "hash bigint, closed bigint, open bigint, on bigint")
-    return counted.groupBy("hash").agg(F.sum("closed").alias("closed"), F.sum("open").alias("open"), F.sum("on").alias("on"))
+    counted = events.select("source", "text").mapInPandas(run, "hash bigint, closed bigint, soft bigint, open bigint, on bigint")
+    return counted.groupBy("hash").agg(*[F.sum(c).alias(c) for c in ("closed", "soft", "open", "on")])
 
 
 def detect_cuts(events: DataFrame) -> DataFrame:
@@ -271,7 +275,7 @@ def detect_cuts(events: DataFrame) -> DataFrame:
     limits = _Limits({r.source: (r.unit, r.n) for r in found})
     suspects = cut_lineage(_suspects(once, limits))
     asked = suspects.filter("verdict = 'ask'")
-    each = asked.select("video_id", "event_id", "at_limit", F.posexplode("contexts").alias("level", "hash")).filter("hash <> 0")
+    each = asked.select("video_id", "event_id", "at_limit", "marked", F.posexplode("contexts").alias("level", "hash")).filter("hash <> 0")
     slot = F.expr(f"cast(hash & {FILTER_BITS - 1} as int)")
     words = each.select((slot / 64).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast((hash & {FILTER_BITS - 1}) % 64 as int))").alias("bit"))
     wanted = np.zeros(FILTER_BITS, dtype=np.uint8)
@@ -280,9 +284,13 @@ def detect_cuts(events: DataFrame) -> DataFrame:
     counts = _context_counts(once, limits, wanted)
     # the text itself is one of the open ends
     own = F.when(F.col("at_limit"), 0).otherwise(1)
-    ends = F.col("closed") + F.greatest(F.col("open") - own, F.lit(0))
-    enough = (ends + F.col("on")) >= F.when(F.col("level") <= CONTEXTS.index(5), EVIDENCE[0]).otherwise(EVIDENCE[1])
-    told = each.join(counts, "hash").withColumn("share", ends / (ends + F.col("on"))).filter(enough)
+    others = F.greatest(F.col("open") - own, F.lit(0))
+    # a mark at the very limit is the author's ellipsis only where the corpus has one in that place
+    by_limit = F.col("at_limit") & F.col("marked")
+    ends = F.when(by_limit, F.col("soft")).otherwise(F.col("closed") + F.col("soft") + others)
+    seen = F.col("closed") + F.col("soft") + others + F.col("on")
+    enough = seen >= F.when(F.col("level") <= CONTEXTS.index(5), EVIDENCE[0]).otherwise(EVIDENCE[1])
+    told = each.join(counts, "hash").filter(enough).withColumn("share", ends / seen)
     verdict = told.groupBy("video_id", "event_id").agg(F.min_by("share", "level").alias("share"))
     ending = asked.join(verdict, ["video_id", "event_id"], "left").filter(
         F.coalesce(F.col("share") < 0.5, F.col("unclosed") | F.col("at_limit"))).select("video_id", "event_id", "source", F.lit("ending").alias("why"))
