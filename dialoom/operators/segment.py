@@ -13,11 +13,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialoom.functions import text as T
 from dialoom.functions.similarity import ratio_of
+from dialoom.session import cut_lineage
 
 from .ordered import neighbour, running, time_chunk
 
@@ -128,33 +129,35 @@ def segment(frames: DataFrame, rules: Rules = Rules(), tail_s: float = 0.5, chun
     """
     clean = frames.filter("video_id is not null and ts is not null").select(
         "video_id", "ts", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
-    rows = clean.withColumns({"_chunk": time_chunk(F.col("ts"), chunk_s), "_empty": (F.char_length(T.strip(F.col("text"))) < rules.least).cast("int")})
     order = ["ts", "text"]
-    # after `empty` + 1 empty frames nothing of what came before is left
-    numbered = running(rows, ["video_id"], "_chunk", order, F.lit(1), "sum", "_row")
-    last_text = running(numbered, ["video_id"], "_chunk", order, F.when(F.col("_empty") == 1, 0).otherwise(F.col("_row")), "max", "_text_row")
-    resets = (F.col("_row") - F.col("_text_row") == rules.empty + 1).cast("int")
-    pieces = running(last_text, ["video_id"], "_chunk", order, resets, "sum", "_piece")
-    ends = clean.groupBy("video_id").agg((F.max("ts") + tail_s).alias("_end"))
-    joined = pieces.join(ends, "video_id").select("video_id", "_piece", "ts", "text", "confidence", "_end")
-    ordered = joined.repartition("video_id", "_piece").sortWithinPartitions("video_id", "_piece", *order)
+    inside = Window.partitionBy("video_id", "_chunk").orderBy(*order)
+    rows = clean.withColumns({"_chunk": time_chunk(F.col("ts"), chunk_s), "_empty": F.char_length(T.strip(F.col("text"))) < rules.least})
+    # after `empty` + 1 empty frames nothing of what came before is left; such a place inside a chunk is where a new piece begins
+    reset = F.col("_empty")
+    for k in range(1, rules.empty + 1):
+        reset = reset & F.coalesce(F.lag("_empty", k).over(inside), F.lit(False))
+    reset = reset & ~F.coalesce(F.lag("_empty", rules.empty + 1).over(inside), F.lit(False))
+    marked = rows.withColumn("_reset", F.when(reset, F.col("ts")))
+    pieces = running(marked, ["video_id"], "_chunk", order, F.col("_reset"), "last", "_piece").select("video_id", F.coalesce("_piece", F.lit(float("-inf"))).alias("_piece"), *order, "confidence")
+    ordered = pieces.repartition("video_id", "_piece").sortWithinPartitions("video_id", "_piece", *order)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["video_id", "start_ts", "end_ts", "text", "confidence", "cause", "n_frames"]
-        here, machine, end = None, Fold(rules), 0.0
+        here, machine, last = None, Fold(rules), 0.0
         for batch in batches:
             out: list[tuple] = []
-            for video, piece, ts, text, confidence, last in batch.itertuples(index=False):
+            for video, piece, ts, text, confidence in batch.itertuples(index=False):
                 if (video, piece) != here:
                     if here is not None:
-                        out += [(here[0], *e) for e in machine.flush(end)]
-                    here, machine, end = (video, piece), Fold(rules), last
+                        out += [(here[0], *e) for e in machine.flush(last + tail_s)]
+                    here, machine = (video, piece), Fold(rules)
+                last = ts
                 out += [(video, *e) for e in machine.feed(ts, text, confidence)]
             yield pd.DataFrame(out, columns=columns)
-        if here is not None:
-            yield pd.DataFrame([(here[0], *e) for e in machine.flush(end)], columns=columns)
+        if here is not None:  # only the last piece of a video can leave an event open
+            yield pd.DataFrame([(here[0], *e) for e in machine.flush(last + tail_s)], columns=columns)
 
-    return number_events(ordered.mapInPandas(run, EVENT_SCHEMA), chunk_s)
+    return number_events(cut_lineage(ordered.mapInPandas(run, EVENT_SCHEMA)), chunk_s)
 
 
 def number_events(events: DataFrame, chunk_s: float = 3600.0) -> DataFrame:
