@@ -41,7 +41,8 @@ _HALF_TAG = re.compile(r"</?[A-Za-z][^<>]{0,200}$|<$")
 _MARK = re.compile(r"\s*(?:\[(?:…|\.\.\.)\]|\((?:…|\.\.\.)\)|…+|\.{2,}|>>>?|\+)\s*$")
 _TERMINATOR = "[.!?。！？…—♪♥]"
 _CLOSER = "[\"'”’」』)）\\]］】»〉》〕]"
-_END = re.compile(rf"{_TERMINATOR}+{_CLOSER}*\s*$|{_CLOSER}\s*$")
+#: An apostrophe closes a text after a terminator only: elsewhere it stands inside a word.
+_END = re.compile(rf"{_TERMINATOR}+{_CLOSER}*\s*$|(?!['’]){_CLOSER}\s*$")
 _SENTENCE = re.compile(r"([.!?。！？…—]+)")
 _SOFT = re.compile(r"…|\.{2,}")
 #: What follows a context: the end of a sentence, the end without a terminator, more text, nothing to count, the end with an ellipsis.

@@ -69,6 +69,11 @@ def test_automaton(text, broken, unclosed):
     assert (ending.broken, ending.unclosed) == (broken, unclosed)
 
 
+@pytest.mark.parametrize("text, terminated", [("It isn'", False), ("It isn’", False), ("‘It is.’", True), ("It is.'", True), ("(an aside)", True), ("Yes", False), ("Oh—", True)])
+def test_apostrophes_are_no_end(text, terminated):
+    assert X.read_ending(text).terminated == terminated
+
+
 def test_context_hashes_do_not_depend_on_the_place():
     alone, _, last = X._hashes(["the end of it"])
     among, owner, ends = X._hashes(["another", "the end of it", "x"])
