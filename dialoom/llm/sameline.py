@@ -16,20 +16,18 @@ import regex
 
 from .lookalike import comparable, plain_points
 
-# Words that change what a line says; English, then Spanish.
-MEANING_WORDS = frozenset(
-    "no not never none nothing nobody neither nor without every all some any each both either always "
-    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
-    "seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand "
-    "first second third left right up down in out on off before after over under north south east west "
-    "he she it they we you him her them us me his hers their our my mine this that these those "
-    "can cannot can't do don't does doesn't did didn't will won't is isn't are aren't was wasn't were weren't "
-    "here there now then more less most least open close yes "
-    "nunca jamás nada nadie ningún ninguno ninguna sin sí siempre todo toda todos todas algún alguno alguien algo cada ambos "
-    "cero uno una dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince veinte treinta cien mil "
-    "primero primera segundo segunda tercero tercera izquierda derecha arriba abajo dentro fuera antes después "
-    "él ella ello ellos ellas yo tú usted nosotros ustedes mi tu su mis tus sus este esta esto ese esa eso aquel aquella "
-    "aquí allí ahora más menos".split())
+# Groups of words of which one in place of another changes what a line says; English, then Spanish.
+MEANING_GROUPS = (
+    "no not never none nothing nobody neither nor without every all some any each both either always yes",
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand first second third",
+    "left right up down in out on off before after over under north south east west here there",
+    "he she it they we you him her them us me", "his hers their our my mine", "this that these those", "now then", "more less most least", "open close",
+    "can cannot can't", "do don't does doesn't did didn't", "will won't", "is isn't are aren't was wasn't were weren't",
+    "nunca jamás nada nadie ningún ninguno ninguna sin sí no siempre todo toda todos todas algún alguno alguien algo cada ambos",
+    "cero uno una dos tres cuatro cinco seis siete ocho nueve diez once doce trece catorce quince veinte treinta cien mil primero primera segundo segunda tercero tercera",
+    "izquierda derecha arriba abajo dentro fuera antes después aquí allí", "él ella ello ellos ellas yo tú usted nosotros ustedes",
+    "mi tu su mis tus sus", "este esta esto ese esa eso aquel aquella", "más menos")
 # Characters that negate a Chinese or Japanese line, and those that change it in place of another.
 NEGATING_CHARS = frozenset("不没未无無非勿别莫")
 MEANING_CHARS = frozenset("不没未无無非否勿别莫一二两三四五六七八九十百千万零〇左右上下前后後東东西南北内外他她它你您我俺僕私彼女男大小多少早晚今昨明来去生死开開关閉")
@@ -46,6 +44,10 @@ _UNREAD = frozenset("□�■")
 
 _CJK = r"\p{Han}\p{Hiragana}\p{Katakana}ー"
 _TOKEN = regex.compile(rf"[{_CJK}□�■]|(?:(?![{_CJK}])[\p{{L}}\p{{N}}\p{{M}}□�■])+(?:['’](?:(?![{_CJK}])[\p{{L}}])+)*")
+_GROUPS: dict[str, set[int]] = {}
+for _k, _words in enumerate(MEANING_GROUPS):
+    for _word in _words.split():
+        _GROUPS.setdefault(_word, set()).add(_k)
 _LETTER_PAIRS = frozenset((a, b) for g in CONFUSED_LETTERS for a in g for b in g if a != b)
 _CHAR_PAIRS = frozenset((a, b) for g in CONFUSED_CHARS for a in g for b in g if a != b)
 
@@ -106,20 +108,24 @@ def _digits(words: tuple[str, ...]) -> list[str]:
 def _words_agree(a: tuple[str, ...], b: tuple[str, ...]) -> float:
     """The cost of reading the words a as b; infinite if they say something else."""
     inf = float("inf")
-    if not a or not b or _digits(a) != _digits(b):
+    if not a or not b:
         return inf
     if len(a) == len(b):
         for x, y in zip(a, b):
-            if x != y and x in MEANING_WORDS and y in MEANING_WORDS:
+            if x != y and _GROUPS.get(x, set()) & _GROUPS.get(y, set()):
                 return inf
     x, y = "".join(a), "".join(b)
     if _bare(x) == _bare(y):
         return 0.0
+    lettered = not x.isdigit() and not y.isdigit()
     x, y = _folded(x), _folded(y)
-    if x == y:
+    if x == y and lettered:
         return 0.5
-    if min(len(x), len(y)) < 2:  # of a word of two letters one was lost
-        return 1.0 if len(x) + len(y) == 3 and (x in y or y in x) else inf
+    if _digits(a) != _digits(b):
+        return inf
+    if min(len(x), len(y)) < 2:  # one letter for another, or of a word of two letters one was lost
+        lost = len(x) + len(y) == 3 and (x in y or y in x)
+        return 1.0 if lost or (x, y) in _LETTER_PAIRS else inf
     return _misread_cost(x, y, max(1.0, 0.45 * max(len(x), len(y))))
 
 
