@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import neighbour, time_chunk
+from dialoom.session import cut_lineage
+
+from .ordered import neighbour, running, time_chunk
 
 #: A frame this much before the grid time still serves; one this much after it does not.
 TOLERANCE_S, LOOK_AHEAD_S = 0.1, 2.0
@@ -56,10 +58,11 @@ def progress_ticks(signal: DataFrame, key: str, ts: str, every: float = 30.0) ->
     return signal.groupBy(key, F.floor(F.col(ts) / every).cast("bigint").alias("tick")).agg(F.count("*").alias("n"))
 
 
-def run_lengths(signal: DataFrame, key: str, order: list[str], state: str) -> DataFrame:
-    """(key, state, first, last, n): runs of equal state in the order of the first order column."""
-    w = Window.partitionBy(key).orderBy(*order)
-    inside = Window.partitionBy(key, state).orderBy(*order)
-    island = F.row_number().over(w) - F.row_number().over(inside)
-    return signal.withColumn("_island", island).groupBy(key, state, "_island").agg(
-        F.min(order[0]).alias("first"), F.max(order[0]).alias("last"), F.count("*").alias("n")).drop("_island")
+def run_lengths(signal: DataFrame, key: str, order: list[str], state: str, chunk_size: float = 1_800_000) -> DataFrame:
+    """(key, state, first, last, n): runs of equal state in the given order; first and last are values of the first order column."""
+    rows = signal.select(key, *order, state).withColumn("_chunk", time_chunk(F.col(order[0]), chunk_size))
+    before = neighbour(rows, [key], "_chunk", order, [state], "before_")
+    starts = cut_lineage(before.select(key, *order, state, "_chunk", F.when(F.col("before_found") & F.col(f"before_{state}").eqNullSafe(F.col(state)), 0).otherwise(1).alias("_start")))
+    numbered = running(starts, [key], "_chunk", order, F.col("_start"), "sum", "_run")
+    return numbered.groupBy(key, "_run").agg(
+        F.min_by(state, F.struct(*order)).alias(state), F.min(order[0]).alias("first"), F.max(order[0]).alias("last"), F.count("*").alias("n")).drop("_run")

@@ -117,6 +117,8 @@ ORACLE_SQL: dict[str, str] = {
     "speaker_runs": f"""with {_EV}, x as (select video_id, coalesce(speaker, '') speaker, start_ms, row_number() over (partition by video_id order by start_ms, event_id)
             - row_number() over (partition by video_id, coalesce(speaker, '') order by start_ms, event_id) g from ev)
         select video_id, speaker, min(start_ms) "first", max(start_ms) "last", count(*) n from x group by video_id, speaker, g""",
+    "arrival_windows": """select time_bucket(interval 10 minutes, ingested_at) window_start, split_part(source_file, '/', 1) source, count(*) n_events, count(*) filter (review_required) n_review
+        from dialogue_events where ingested_at is not null group by all""",
     "corrections_apply": f"""with {_EV}, c as (select * from corrections qualify row_number() over (partition by video_id, event_id order by submitted_at desc nulls last, reviewer desc nulls last, "text" desc nulls last,
             speaker desc nulls last, accepted desc nulls last) = 1)
         select ev.video_id, ev.event_id, coalesce(c.speaker, ev.speaker) speaker, coalesce(c."text", ev."text") "text", case when coalesce(c.accepted, false) then false else ev.review_required end review_required,

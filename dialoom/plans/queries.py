@@ -11,6 +11,7 @@ from dialoom.functions import text as T
 from dialoom.operators import evaluate, fusion, inlining, merge, persona, regions, sampling, segment, speaker
 from dialoom.operators import events as E
 from dialoom.sources import books
+from dialoom.streaming.segments import windowed_counts
 
 from . import adapters as A
 from .oracle import ORACLE_SQL  # noqa: F401
@@ -174,6 +175,12 @@ def speaker_runs(spark, folder):
     return sampling.run_lengths(A.events(spark, folder).withColumn("speaker", F.coalesce("speaker", F.lit(""))), "video_id", ["start_ms", "event_id"], "speaker")
 
 
+@query
+def arrival_windows(spark, folder):
+    counts = windowed_counts(A.table(spark, folder, "dialogue_events"))
+    return counts.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
 @query
 def corrections_apply(spark, folder):
     last = F.struct("submitted_at", "reviewer", "text", "speaker", "accepted")

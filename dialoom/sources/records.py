@@ -102,12 +102,69 @@ def work_config(values: object) -> WorkConfig:
 
 def load_work_config(path: str) -> WorkConfig:
     """The settings in a YAML or JSON file."""
+    return work_config(_load(path))
+
+
+def _load(path: str) -> object:
     with open(path, encoding="utf-8") as f:
         text = f.read()
     if path.endswith(".json"):
-        return work_config(json.loads(text))
+        return json.loads(text)
+    if not path.endswith((".yaml", ".yml")):
+        raise ValueError(f"neither JSON nor YAML: {path}")
     try:
         import yaml
     except ImportError as error:
         raise ValueError("YAML files need a YAML library") from error
-    return work_config(yaml.safe_load(text))
+    return yaml.safe_load(text)
+
+
+#: Least width and height of the pixel regions of a frame.
+LEAST_SIZE = {"dialogue_box": (100, 20), "name_box": (50, 20)}
+
+
+def region_problems(values: object) -> list[str]:
+    """Everything that is wrong with pixel regions {work_id, resolution {width, height}, dialogue_box {roi}, name_box {roi}}."""
+    if not isinstance(values, dict):
+        return ["no mapping"]
+    size = values.get("resolution") or {}
+    width, height = size.get("width"), size.get("height")
+    out = [] if values.get("work_id") else ["work_id"]
+    if not all(isinstance(v, int) and v > 0 for v in (width, height)):
+        return [*out, "resolution"]
+    for name in LEAST_SIZE:
+        box = (values.get(name) or {}).get("roi")
+        parts = [box.get(k) for k in ("x", "y", "width", "height")] if isinstance(box, dict) else []
+        if len(parts) != 4 or not all(isinstance(v, int) for v in parts):
+            out.append(f"{name}: roi")
+            continue
+        x, y, w, h = parts
+        out += [f"{name}: {what}" for what, bad in (("x", x < 0), ("y", y < 0), ("width", w <= 0), ("height", h <= 0), ("right", x + w > width), ("bottom", y + h > height)) if bad]
+    return out
+
+
+def load_regions(path: str) -> dict:
+    """Pixel regions from a JSON or YAML file; ValueError with all that is wrong with them."""
+    values = _load(path)
+    if problems := region_problems(values):
+        raise ValueError("; ".join(problems))
+    return values
+
+
+def save_regions(values: dict, path: str) -> None:
+    """Pixel regions as JSON, or as YAML if the name says so."""
+    if path.endswith(".json"):
+        text = json.dumps(values, ensure_ascii=False, indent=2)
+    else:
+        import yaml
+
+        text = yaml.safe_dump(values, allow_unicode=True, sort_keys=False)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+def rescale_regions(values: dict, width: int, height: int) -> dict:
+    """The regions for another resolution; every value is truncated."""
+    sx, sy = width / values["resolution"]["width"], height / values["resolution"]["height"]
+    scaled = {n: {**values[n], "roi": {k: int(v * (sx if k in ("x", "width") else sy)) for k, v in values[n]["roi"].items()}} for n in LEAST_SIZE}
+    return {**values, "resolution": {"width": width, "height": height}, **scaled}

@@ -94,3 +94,33 @@ def test_transcripts_round_trip(spark, tmp_path):
     both = records.read_transcripts(spark, str(tmp_path / "t/review/video_id=v")).orderBy("start_ms").collect()
     assert [(r.start_ms, r.speaker, r.text) for r in clean] == [(0, "A", "hi")]
     assert [(r.start_ms, r.speaker, r.text) for r in both] == [(0, "A", "hi"), (65_000, None, "there")]
+
+
+REGIONS = {"work_id": "w", "resolution": {"width": 1920, "height": 1080}, "dialogue_box": {"roi": {"x": 100, "y": 800, "width": 1000, "height": 200}}, "name_box": {"roi": {"x": 100, "y": 700, "width": 301, "height": 80}}}
+
+
+def test_regions(tmp_path):
+    path = str(tmp_path / "r.json")
+    records.save_regions(REGIONS, path)
+    assert records.load_regions(path) == REGIONS
+    small = records.rescale_regions(REGIONS, 960, 540)
+    assert small["name_box"]["roi"] == {"x": 50, "y": 350, "width": 150, "height": 40}
+    bad = {**REGIONS, "dialogue_box": {"roi": {"x": -1, "y": 800, "width": 3000, "height": 0}}, "name_box": {}}
+    assert records.region_problems(bad) == ["dialogue_box: x", "dialogue_box: height", "dialogue_box: right", "name_box: roi"]
+    assert records.region_problems([]) == ["no mapping"] and "resolution" in records.region_problems({"work_id": "w"})
+    with pytest.raises(ValueError):
+        records.load_regions(str(tmp_path / "r.txt")) if (tmp_path / "r.txt").write_text("x") else None
+
+
+def test_engines_run_the_fallback_only_where_needed(spark):
+    from dialoom.functions.engines import engine_factory, recognize, register_engine
+    from dialoom.operators.fusion import fuse_candidates
+
+    register_engine("first", lambda: lambda image: (image.decode(), 0.5 if image.startswith(b"low") else 0.9))
+    register_engine("second", lambda: lambda image: (image.decode() + " better", 0.85))
+    df = spark.createDataFrame([(1, bytearray(b"low text")), (2, bytearray(b"fine")), (3, None)], "n int, image binary")
+    got = {r.n: r for r in fuse_candidates(recognize(df, "first", "second"), "candidates").collect()}
+    assert (got[1].chosen_text, got[1].chosen_reason, len(got[1].candidates)) == ("low text better", "fallback:second(conf 0.850>0.500)", 2)
+    assert (got[2].chosen_text, got[2].n_candidates) == ("fine", 1) and got[3].chosen_text is None
+    with pytest.raises(ValueError):
+        engine_factory("none")
