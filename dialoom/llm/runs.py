@@ -20,6 +20,8 @@ from .sameline import same_line
 
 #: Length of a chunk. A window over an entity sees two rows per chunk at most.
 CHUNK_MS = 1_800_000
+#: The same for events without a time, in event numbers.
+CHUNK_ROWS = 2_000
 
 _PIECE = ("video_id string, chunk bigint, piece bigint, is_first boolean, is_last boolean, speaker string, first_event_id string, "
           "last_event_id string, first_text string, last_text string, n bigint, start_ms bigint, end_ms bigint")
@@ -93,7 +95,9 @@ def collapse_runs(events: DataFrame, chunk_ms: int = CHUNK_MS) -> DataFrame:
     all others by event_id; null texts are equal to each other; events without video_id or event_id
     are dropped, as they have no place. Other columns are not read. An empty table gives none.
     """
-    chunk = F.coalesce(F.expr(f"start_ms div {int(chunk_ms)}"), F.lit(2**62))
+    # events without a time come last, in stretches of their numbers
+    number = F.coalesce(F.regexp_extract("event_id", r"(\d{1,15})$", 1).try_cast("bigint"), F.lit(0))
+    chunk = F.coalesce(F.expr(f"start_ms div {int(chunk_ms)}"), F.lit(2**60) + F.floor(number / CHUNK_ROWS))
     rows = events.filter("video_id is not null and event_id is not null").select(
         "video_id", chunk.alias("chunk"), F.col("start_ms").cast("bigint").alias("start_ms"), F.col("end_ms").cast("bigint").alias("end_ms"), "event_id", "speaker", "text")
     ordered = rows.repartition("video_id", "chunk").sortWithinPartitions("video_id", "chunk", F.coalesce("start_ms", F.lit(2**62)), "event_id")

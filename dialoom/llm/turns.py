@@ -280,7 +280,7 @@ def speaker_turns(events: DataFrame, runs: DataFrame, configs: DataFrame, chunk_
     """One row per turn: video_id, speaker, first_event_id, last_event_id, text, n_rows, start_ms, end_ms.
 
     Rows come in time order: by event_id where that counts in time order, else by start_ms or the time
-    that stands in the text, then event_id. Rows without words belong to no turn and pass on no label.
+    that stands in the text (0 where there is none), then event_id. Rows without words belong to no turn and pass on no label.
     Redelivered rows count once. Rows before the first label form a turn with a null speaker; so do the
     videos of works without a roster. Rows without video_id or event_id are dropped, null texts have no
     words, an empty table gives no rows. Other columns are not read.
