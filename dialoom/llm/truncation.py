@@ -14,8 +14,10 @@ Three kinds of evidence, from sure to statistical:
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -105,6 +107,7 @@ def field_limits(events: DataFrame) -> DataFrame:
     return found.groupBy("source").agg(F.max_by(F.struct("unit", "n"), best).alias("m")).select("source", "m.unit", "m.n")
 
 
+@lru_cache(maxsize=200_000)
 def _folded(sentence: str) -> str:
     """Spaces, digits and characters in one form. Case stays, since titles differ by it, but for shouted sentences."""
     plain = re.sub(r"\d+", "0", " ".join(plain_points(sentence).split()))
@@ -169,6 +172,8 @@ class _Limits:
 
 def _judge(source: str | None, text: str, limits: _Limits) -> str:
     """`whole`, `broken`, `limit`, or `ask` where the ending has to be compared with the corpus."""
+    if text[-1] in ".!?。！？" and text[-2:-1] != "." and "<" not in text:
+        return "whole"  # what reading it to the end would say, too
     ending = read_ending(text)
     if ending.broken:
         return "broken"
@@ -227,34 +232,40 @@ def _context_counts(events: DataFrame, limits: _Limits, wanted: np.ndarray) -> D
     stops there without a terminator, or goes on. wanted: the filter, one bit per hash value modulo FILTER_BITS."""
     shared = events.sparkSession.sparkContext.broadcast(np.packbits(wanted))  # FILTER_BITS / 8 bytes, whatever the data
 
-    def count(bits: np.ndarray, sentences: list[str], ends: list[int]) -> pd.DataFrame:
-        hashed, owner, last = _hashes(sentences)
-        kind = np.where(last, np.array(ends)[owner], _GOES_ON)
-        rows, columns = np.nonzero((bits[(hashed & _MASK).astype(np.int64)] > 0) & (hashed != 0) & (kind != _IGNORED)[None, :])
-        keys, inverse = np.unique(hashed[rows, columns], return_inverse=True)
-        sums = {n: np.bincount(inverse[kind[columns] == k], minlength=len(keys)) for n, k in (("closed", _CLOSED), ("soft", _SOFTLY), ("open", _STOPS), ("on", _GOES_ON))}
-        return pd.DataFrame({"hash": keys.view(np.int64), **sums})
+    def count(bits: np.ndarray, seen: Counter) -> Iterator[pd.DataFrame]:
+        items = list(seen.items())
+        for low, high in _slices([s for (s, _), _ in items]):
+            part = items[low:high]
+            hashed, owner, last = _hashes([s for (s, _), _ in part])
+            kind = np.where(last, np.array([k for (_, k), _ in part])[owner], _GOES_ON)
+            times = np.array([n for _, n in part])[owner]
+            rows, columns = np.nonzero((bits[(hashed & _MASK).astype(np.int64)] > 0) & (hashed != 0) & (kind != _IGNORED)[None, :])
+            keys, inverse = np.unique(hashed[rows, columns], return_inverse=True)
+            kinds, weights = kind[columns], times[columns]
+            sums = {n: np.bincount(inverse[kinds == k], weights=weights[kinds == k], minlength=len(keys)).astype(np.int64)
+                    for n, k in (("closed", _CLOSED), ("soft", _SOFTLY), ("open", _STOPS), ("on", _GOES_ON))}
+            yield pd.DataFrame({"hash": keys.view(np.int64), **sums})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits = np.unpackbits(shared.value)
+        seen: Counter = Counter()  # equal sentences are hashed once
         for batch in batches:
-            texts = batch["text"].tolist()
-            for low, high in _slices(texts):
-                sentences: list[str] = []
-                ends: list[int] = []
-                for source, text in zip(batch["source"].iloc[low:high], texts[low:high]):
-                    verdict = _judge(source, text, limits)
-                    marked = verdict == "ask" and bool(_MARK.search(text))
-                    closed, tail = _split(text)
-                    sentences += [c for c, _ in closed]
-                    ends += [e for _, e in closed]
-                    if marked and closed and not tail and limits.at(source, text):
-                        ends[-1] = _IGNORED  # the mark may stand at a cut
-                    if tail:
-                        sentences.append(tail)
-                        ends.append(_STOPS if verdict in ("whole", "ask") and not limits.at(source, text) else _IGNORED)
-                if sentences:
-                    yield count(bits, sentences, ends)
+            for source, text in zip(batch["source"], batch["text"]):
+                closed, tail = _split(text)
+                seen.update(closed[:-1])
+                if not tail and closed and closed[-1][1] == _CLOSED:
+                    seen[closed[-1]] += 1
+                    continue
+                verdict, at_limit = _judge(source, text, limits), limits.at(source, text)
+                if closed:
+                    marked = verdict == "ask" and not tail and at_limit and bool(_MARK.search(text))
+                    seen[(closed[-1][0], _IGNORED) if marked else closed[-1]] += 1  # the mark may stand at a cut
+                if tail:
+                    seen[(tail, _STOPS if verdict in ("whole", "ask") and not at_limit else _IGNORED)] += 1
+            if len(seen) > 100_000:
+                yield from count(bits, seen)
+                seen.clear()
+        yield from count(bits, seen)
 
     counted = events.select("source", "text").mapInPandas(run, "hash bigint, closed bigint, soft bigint, open bigint, on bigint")
     return counted.groupBy("hash").agg(*[F.sum(c).alias(c) for c in ("closed", "soft", "open", "on")])
