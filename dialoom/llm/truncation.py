@@ -286,8 +286,11 @@ def detect_cuts(events: DataFrame) -> DataFrame:
         raise ValueError(f"more than {MAX_SOURCES} capture sources")
     limits = _Limits({r.source: (r.unit, r.n) for r in found})
     suspects = cut_lineage(_suspects(once, limits))
-    asked = suspects.filter("verdict = 'ask'")
-    each = asked.select("video_id", "event_id", "at_limit", "marked", F.posexplode("contexts").alias("level", "hash")).filter("hash <> 0")
+    # equal endings are decided once, so a text that a third of all events repeat is no hot key
+    facts = ["contexts", "at_limit", "marked", "unclosed"]
+    asked = suspects.filter("verdict = 'ask'").withColumn("ending", F.xxhash64(*facts))
+    endings = asked.select("ending", *facts).distinct()
+    each = endings.select("ending", "at_limit", "marked", F.posexplode("contexts").alias("level", "hash")).filter("hash <> 0")
     slot = F.expr(f"cast(hash & {FILTER_BITS - 1} as int)")
     words = each.select((slot / 64).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast((hash & {FILTER_BITS - 1}) % 64 as int))").alias("bit"))
     wanted = np.zeros(FILTER_BITS, dtype=np.uint8)
@@ -303,9 +306,9 @@ def detect_cuts(events: DataFrame) -> DataFrame:
     seen = F.col("closed") + F.col("soft") + others + F.col("on")
     enough = seen >= F.when(F.col("level") <= CONTEXTS.index(5), EVIDENCE[0]).otherwise(EVIDENCE[1])
     told = each.join(counts, "hash").filter(enough).withColumn("share", ends / seen)
-    verdict = told.groupBy("video_id", "event_id").agg(F.min_by("share", "level").alias("share"))
-    ending = asked.join(verdict, ["video_id", "event_id"], "left").filter(
-        F.coalesce(F.col("share") < 0.5, F.col("unclosed") | F.col("at_limit"))).select("video_id", "event_id", "source", F.lit("ending").alias("why"))
+    verdict = told.groupBy("ending").agg(F.min_by("share", "level").alias("share"))
+    cut = endings.join(verdict, "ending", "left").filter(F.coalesce(F.col("share") < 0.5, F.col("unclosed") | F.col("at_limit"))).select("ending")
+    ending = asked.join(cut, "ending").select("video_id", "event_id", "source", F.lit("ending").alias("why"))
     sure = suspects.filter("verdict in ('broken', 'limit')").select("video_id", "event_id", "source", F.col("verdict").alias("why"))
     return sure.unionByName(ending)
 
