@@ -35,8 +35,8 @@ def recall(matches: DataFrame) -> DataFrame:
 
 
 def character_error_rate(matches: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Mean edit distance as a share of the gold text's length, over matched rows with a gold text."""
-    scored = matches.filter("event_id is not null and gold_text <> ''").withColumn("cer", F.levenshtein("text", "gold_text") / F.char_length("gold_text"))
+    """Mean edit distance in code points as a share of the gold text's length, over matched rows with a gold text; a null text counts as empty."""
+    scored = matches.filter("event_id is not null and gold_text <> ''").withColumn("cer", F.levenshtein(F.coalesce("text", F.lit("")), F.col("gold_text")) / F.char_length("gold_text"))
     return scored.groupBy(*(by or [])).agg(F.count("*").alias("n_matched"), F.round(F.avg("cer"), 6).alias("mean_cer"))
 
 

@@ -368,6 +368,12 @@ def eval_cer(spark, folder):
     return evaluate.character_error_rate(plain, ["video_id"])
 
 
+@query
+def eval_cer_all(spark, folder):
+    """The whole of eval_cer: texts in every script. DuckDB's levenshtein counts bytes, so there is no SQL for it."""
+    return evaluate.character_error_rate(evaluate.match_intervals(A.events(spark, folder), A.gold(spark, folder)), ["video_id"])
+
+
 @query
 def eval_duplicate_rate(spark, folder):
     return evaluate.duplicate_rate(A.events(spark, folder))
