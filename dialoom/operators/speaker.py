@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dialoom.functions import text as T
+
 from .ordered import running, time_chunk
 
 CONFIDENCE_FLOOR = 0.5
@@ -65,3 +67,16 @@ def parse_labels(rows: DataFrame, known: DataFrame) -> DataFrame:
     return joined.withColumns({
         "speaker": F.when(hit, F.col("_name")).otherwise(F.col("speaker")), "text": F.when(hit, right).otherwise(F.col("text")),
         "speaker_confidence": F.when(hit, F.col("confidence"))}).drop("_name", "_known")
+
+
+def label_events(rows: DataFrame, configs: DataFrame) -> DataFrame:
+    """parse_labels over rows with their own speaker and text: whoever has no speaker may get one from the stripped text.
+
+    Labels are canonical names, aliases and special speakers; the one found is normalised. Other rows stay as they are, with a null
+    speaker_confidence.
+    """
+    labels = alias_table(configs).select("work_id", F.col("alias").alias("speaker")).union(special_table(configs).select("work_id", "alias")).distinct()
+    parsed = parse_labels(rows.withColumns({"_speaker": F.col("speaker"), "_text": F.col("text"), "text": T.strip(F.col("text"))}), labels)
+    hit = F.col("_speaker").isNull() & F.col("speaker").isNotNull()
+    return normalize_speakers(parsed, configs).withColumns({
+        "speaker": F.coalesce("_speaker", "speaker_norm"), "text": F.when(hit, T.strip(F.col("text"))).otherwise(F.col("_text"))}).drop("_speaker", "_text", "speaker_norm")

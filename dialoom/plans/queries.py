@@ -116,6 +116,13 @@ def speaker_from_text(spark, folder):
     return speaker.parse_labels(labelled, speaker.known_speakers(A.table(spark, folder, "work_configs"))).drop("work_id")
 
 
+@query
+def speaker_from_text_all(spark, folder):
+    """The whole of speaker_from_text: every event with its own speaker and text."""
+    rows = A.events_with_work(spark, folder).select("work_id", "video_id", "event_id", "speaker", "text", "confidence")
+    return speaker.label_events(rows, A.table(spark, folder, "work_configs")).drop("work_id")
+
+
 @query
 def known_speakers(spark, folder):
     return speaker.known_speakers(A.table(spark, folder, "work_configs"))

@@ -44,3 +44,16 @@ def test_error_rate_in_every_script(run):
     gold = [(v, f"event_{k:06d}", meant, True) for v, rows in pairs.items() for k, (_, meant) in enumerate(rows)]
     got = {r.video_id: (r.n_matched, r.mean_cer) for r in run("eval_cer_all", dialogue_events=events, corrections=gold)}
     assert got == {v: (len(rows), round(sum(distance(a or "", b) / len(b) for a, b in rows) / len(rows), 6)) for v, rows in pairs.items()}
+
+
+RUNS = [("v", "w", "ocr", "ok"), ("u", "w", "ocr", "ok")]
+CAST = {"Anna": ["Annie"], "Bramuck Sidel": [], "Silent Anchor Society": [], "沅音漪": ["小漪"], "フィカタ・ロルタノ": []}
+
+
+def test_speakers_from_every_stored_text(run):
+    events = [event("v", 1, "Anna  come here "), event("v", 2, "Annie wait"), event("v", 3, "沅音漪 你好"), event("v", 4, "旁白 夜深了"), event("v", 5, " Guard halt"), event("v", 6, "Anna"), event("v", 7, None),
+              event("v", 8, "Anna no label", "Bramuck Sidel"), event("u", 1, "小漪 走吧"), event("u", 2, "Anna said", "Anna")]
+    got = {(r.video_id, r.event_id[-1]): (r.speaker, r.text, r.speaker_confidence) for r in run(
+        "speaker_from_text_all", dialogue_events=events, video_runs=RUNS, work_configs=[("w", CAST, {"旁白": "[旁白]"})])}
+    assert got == {("v", "1"): ("Anna", "come here", 0.9), ("v", "2"): ("Anna", "wait", 0.9), ("v", "3"): ("沅音漪", "你好", 0.9), ("v", "4"): ("[旁白]", "夜深了", 0.9), ("v", "5"): (None, " Guard halt", None),
+                   ("v", "6"): (None, "Anna", None), ("v", "7"): (None, None, None), ("v", "8"): ("Bramuck Sidel", "Anna no label", None), ("u", "1"): ("沅音漪", "走吧", 0.9), ("u", "2"): ("Anna", "Anna said", None)}
