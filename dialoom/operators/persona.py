@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections import Counter
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Modal particles.
@@ -13,14 +17,28 @@ ROUTES = (
     ("style", "persona"), ("expression", "persona"), ("emotion", "persona"), ("behaviour", "persona"), ("personality", "persona"),
     ("both", "story"), ("both", "persona"))
 
+#: A cast is a dictionary that people keep; more names than this are taken for an error.
+MAX_NAMES = 1_000_000
+
+#: Characters of scripts without blanks: Chinese and Japanese, without the middle dot.
+_UNSPACED = r"\x{3005}-\x{3007}\x{3041}-\x{309f}\x{30a1}-\x{30fa}\x{30fc}-\x{30ff}\x{31f0}-\x{31ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{ff66}-\x{ff9f}\x{20000}-\x{3ffff}"
+
+
+def tokens(text: Column) -> Column:
+    """The words of a text; in scripts without blanks each character is one."""
+    return F.regexp_extract_all(text, F.lit(rf"([{_UNSPACED}]|[\p{{L}}\p{{N}}'&&[^{_UNSPACED}]]+)"), F.lit(1))
+
 
-def phrases(events: DataFrame, size: int = 3, at_least: int = 3) -> DataFrame:
-    """(speaker, phrase, n): sequences of `size` words that a speaker says at least `at_least` times. Words are cut at blanks, in lower case."""
-    words = F.filter(F.split(F.lower(F.regexp_replace("text", r"[^\p{L}\p{N}' ]+", " ")), " +"), lambda w: w != "")
+def phrases(events: DataFrame, size: int = 3, at_least: int = 3, characters: bool = False) -> DataFrame:
+    """(speaker, phrase, n): sequences of `size` words that a speaker says at least `at_least` times. Words are cut at blanks, in lower case;
+    with `characters`, those of scripts without blanks into their characters, which a phrase holds without blanks between them."""
+    words = tokens(F.lower("text")) if characters else F.filter(F.split(F.lower(F.regexp_replace("text", r"[^\p{L}\p{N}' ]+", " ")), " +"), lambda w: w != "")
     starts = F.sequence(F.lit(1), F.size(words) - size + 1)
     grams = F.when(F.size(words) >= size, F.transform(starts, lambda k: F.array_join(F.slice(words, k, size), " ")))
-    return events.filter("speaker is not null").select("speaker", F.explode(grams).alias("phrase")).groupBy("speaker", "phrase").agg(
-        F.count("*").alias("n")).filter(F.col("n") >= at_least)
+    said = events.filter("speaker is not null").select("speaker", F.explode(grams).alias("phrase"))
+    if characters:
+        said = said.withColumn("phrase", F.regexp_replace("phrase", f"(?<=[{_UNSPACED}]) (?=[{_UNSPACED}])", ""))
+    return said.groupBy("speaker", "phrase").agg(F.count("*").alias("n")).filter(F.col("n") >= at_least)
 
 
 def token_counts(events: DataFrame, tokens=PARTICLES) -> DataFrame:
@@ -30,7 +48,9 @@ def token_counts(events: DataFrame, tokens=PARTICLES) -> DataFrame:
 
 
 def address_forms(events: DataFrame, names: DataFrame) -> DataFrame:
-    """(speaker, name, n): whom a speaker mentions. names: (work_id, name); events need work_id.
+    """(speaker, name, n): whom a speaker mentions by a name of exactly two words; `mentions` finds the others too.
+
+    names: (work_id, name); events need work_id.
 
     The names that a text holds are taken out of it by an equi-join on its word pairs, not by comparing
     every text with every name.
@@ -41,6 +61,41 @@ def address_forms(events: DataFrame, names: DataFrame) -> DataFrame:
     return said.join(names.select("work_id", "name").distinct(), ["work_id", "name"]).groupBy("speaker", "name").agg(F.count("*").alias("n"))
 
 
+def mentions(events: DataFrame, names: DataFrame) -> DataFrame:
+    """(speaker, name, n): whom a speaker mentions, by names of any length and script. names: (work_id, name); events need work_id.
+
+    Texts and names are cut alike by `tokens`, so that marks and repeated blanks do not count and a name is never found inside a word
+    of a spaced script. Every occurrence counts, also one that overlaps another name's.
+    """
+    cast = names.select("work_id", "name").distinct().withColumn("tokens", tokens(F.col("name"))).filter("work_id is not null and size(tokens) > 0").limit(MAX_NAMES + 1).collect()
+    if len(cast) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} names in the casts")
+    tries: dict[str, dict] = {}
+    for work, name, parts in cast:
+        node = tries.setdefault(work, {})
+        for part in parts:
+            node = node.setdefault(part, {})
+        node.setdefault(None, []).append(name)  # several names may be cut alike
+    shared = events.sparkSession.sparkContext.broadcast(tries)  # at most MAX_NAMES names
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found: Counter = Counter()
+            for work, speaker, parts in zip(batch["work_id"], batch["speaker"], batch["tokens"]):
+                root = shared.value.get(work, {})
+                for start in range(len(parts)):
+                    node = root
+                    for at in range(start, len(parts)):
+                        node = node.get(parts[at])
+                        if node is None:
+                            break
+                        found.update((speaker, name) for name in node.get(None, ()))
+            yield pd.DataFrame([(*key, n) for key, n in found.items()], columns=["speaker", "name", "n"])
+
+    said = events.filter("speaker is not null and text is not null").select("work_id", "speaker", tokens(F.col("text")).alias("tokens"))
+    return said.mapInPandas(run, "speaker string, name string, n bigint").groupBy("speaker", "name").agg(F.sum("n").alias("n"))
+
+
 def apply_rules(tags: DataFrame, rules: DataFrame, on: str = "tag") -> DataFrame:
     """Each tag with its rule; null where there is none."""
     return tags.join(rules, on, "left")

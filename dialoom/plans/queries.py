@@ -311,6 +311,12 @@ def catchphrase_ngrams(spark, folder):
     return persona.phrases(A.events(spark, folder))
 
 
+@query
+def catchphrase_ngrams_all(spark, folder):
+    """The whole of catchphrase_ngrams: Chinese and Japanese clauses are cut into characters."""
+    return persona.phrases(A.events(spark, folder), characters=True)
+
+
 @query
 def particle_counts(spark, folder):
     return persona.token_counts(A.events(spark, folder))
@@ -322,6 +328,13 @@ def address_forms(spark, folder):
     return persona.address_forms(A.events_with_work(spark, folder), names)
 
 
+@query
+def address_forms_all(spark, folder):
+    """The whole of address_forms: names of any number of words and in any script."""
+    names = A.table(spark, folder, "work_configs").select("work_id", F.explode(F.map_keys("speaker_aliases")).alias("name"))
+    return persona.mentions(A.events_with_work(spark, folder), names)
+
+
 @query
 def info_routing(spark, folder):
     kinds = F.array(*[F.lit(k) for k in ("world", "style", "both", "plot", "unknown")])

@@ -57,3 +57,16 @@ def test_speakers_from_every_stored_text(run):
         "speaker_from_text_all", dialogue_events=events, video_runs=RUNS, work_configs=[("w", CAST, {"旁白": "[旁白]"})])}
     assert got == {("v", "1"): ("Anna", "come here", 0.9), ("v", "2"): ("Anna", "wait", 0.9), ("v", "3"): ("沅音漪", "你好", 0.9), ("v", "4"): ("[旁白]", "夜深了", 0.9), ("v", "5"): (None, " Guard halt", None),
                    ("v", "6"): (None, "Anna", None), ("v", "7"): (None, None, None), ("v", "8"): ("Bramuck Sidel", "Anna no label", None), ("u", "1"): ("沅音漪", "走吧", 0.9), ("u", "2"): ("Anna", "Anna said", None)}
+
+
+def test_names_of_any_length_and_script(run):
+    events = [event("v", 1, "Anna, the Silent  Anchor Society and Bramuck Sidel. Anna!", "a"), event("v", 2, "Annabel and Sidel", "a"), event("v", 3, "我看见沅音漪了,沅音漪!", "b"), event("v", 4, "あのフィカタ・ロルタノさん", "b"),
+              event("v", 5, "Anna"), event("u", 6, None, "a")]
+    got = {(r.speaker, r.name): r.n for r in run("address_forms_all", dialogue_events=events, video_runs=RUNS, work_configs=[("w", CAST, None)])}
+    assert got == {("a", "Anna"): 2, ("a", "Silent Anchor Society"): 1, ("a", "Bramuck Sidel"): 1, ("b", "沅音漪"): 2, ("b", "フィカタ・ロルタノ"): 1}
+
+
+def test_phrases_in_unspaced_scripts(run):
+    texts = ["没关系的。", "真的没关系", "没关系", "Well I never", "well, I never!", "WELL I never did"]
+    got = {(r.phrase, r.n) for r in run("catchphrase_ngrams_all", dialogue_events=[event("v", k, t, "a") for k, t in enumerate(texts)])}
+    assert got == {("没关系", 3), ("well i never", 3)}
