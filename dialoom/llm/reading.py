@@ -6,7 +6,8 @@ Coverage ranks at several shares and the complexity of the sentences are calibra
 levels by least squares; the sums of the normal equations come from SQL over all labels.
 
 Words are letter runs in scripts with spaces and pairs of neighbouring characters in Chinese and
-Japanese. Words that are nearly always capitalised are names and carry no rank.
+Japanese. Words that are nearly always capitalised are names and carry no rank; all others count, those
+outside the vocabulary with the rank behind it.
 """
 
 from __future__ import annotations
@@ -15,10 +16,11 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dialoom.session import cut_lineage
@@ -39,6 +41,8 @@ _LABEL = re.compile(r"^[ \t]*\[?\d{1,2}:\d\d:\d\d[.,\d]*\]?\s*[^:：\n]{1,40}[:
 _TIME = re.compile(r"\d:\d\d:\d\d")
 _SENTENCE_END = re.compile(r"[.!?。！？…]+")
 _COMMA = re.compile(r"[,，、;；]")
+#: Pieces that are remembered between documents.
+_REMEMBERED = 400_000
 _ENDS, _COMMAS = ".!?。！？…\n", ",，、;；"
 _N_FEATURES = len(SHARES) + 6
 
@@ -111,60 +115,123 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield flush()
 
 
-def vocabularies(docs: DataFrame, size: int = VOCABULARY, languages: int = LANGUAGES) -> DataFrame:
-    """(lang, word, rank): the `size` most frequent words of each of the `languages` most frequent languages; 0 is the first rank."""
-    counted = docs.filter("lang is not null and text is not null").select("lang", "text").mapInPandas(
-        _counts, "lang string, word string, n bigint, n_capital bigint")
-    words = cut_lineage(counted.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("n_capital").alias("n_capital")))
+def word_counts(docs: DataFrame, size: int = VOCABULARY, languages: int = LANGUAGES) -> DataFrame:
+    """(lang, word, n, n_capital) over all texts. One without a language counts for the one whose vocabulary, ranked without such texts, knows most of its words."""
+    schema = "lang string, word string, n bigint, n_capital bigint"
+    texts = docs.filter("text is not null").select("lang", "text")
+
+    def summed(counted: DataFrame) -> DataFrame:
+        return cut_lineage(counted.groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("n_capital").alias("n_capital")))
+
+    words, unnamed = summed(texts.filter("lang is not null").mapInPandas(_counts, schema)), texts.filter("lang is null")
+    if unnamed.isEmpty():
+        return words
+    shared = docs.sparkSession.sparkContext.broadcast(_word_lists(_ranked(words, size, languages)))
+
+    def guess(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ranks = {lang: _Ranks(w) for lang, w in shared.value.items()} or {"": _Ranks([])}
+        for batch in batches:
+            cleaned = batch["text"].map(_clean)
+            yield batch.assign(lang=[max(ranks, key=lambda option: _features(text, ranks[option])[1]) for text in cleaned])
+
+    return summed(words.unionByName(unnamed.mapInPandas(guess, "lang string, text string").mapInPandas(_counts, schema)))
+
+
+def _most_used(words: DataFrame, which: Column, languages: int) -> DataFrame:
+    """The words for which `which` holds, of the languages with most words of any kind."""
     most = words.groupBy("lang").agg(F.sum("n").alias("all")).orderBy(F.desc("all"), "lang").limit(languages).select("lang")
+    return words.filter(which).join(F.broadcast(most), "lang")
+
+
+def _ranked(words: DataFrame, size: int, languages: int) -> DataFrame:
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    return (words.filter(F.col("n_capital") < NAME_SHARE * F.col("n")).join(F.broadcast(most), "lang")
+    return (_most_used(words, F.col("n_capital") < NAME_SHARE * F.col("n"), languages)
             .withColumn("rank", F.row_number().over(order) - 1).filter(F.col("rank") < size).select("lang", "word", "rank"))
 
 
+def vocabularies(docs: DataFrame, size: int = VOCABULARY, languages: int = LANGUAGES) -> DataFrame:
+    """(lang, word, rank): the `size` most frequent words of each of the `languages` most frequent languages; 0 is the first rank."""
+    return _ranked(word_counts(docs, size, languages), size, languages)
+
+
+def _word_lists(vocabulary: DataFrame) -> dict[str, list[str]]:
+    words: dict[str, list[str]] = {}
+    for lang, word, _ in vocabulary.orderBy("lang", "rank").collect():  # at most VOCABULARY * LANGUAGES words
+        words.setdefault(lang, []).append(word)
+    return words
+
+
+def _mark(word: str) -> int:
+    """Eight bytes that stand for a word."""
+    return int.from_bytes(blake2b(word.encode("utf-8", "replace"), digest_size=8).digest(), "little")
+
+
+def name_marks(words: DataFrame, languages: int = LANGUAGES) -> dict[str, np.ndarray]:
+    """lang -> the sorted marks of its names, all of them; eight bytes a name reach the driver."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [(lang, np.array([_mark(w) for w in part], dtype=np.uint64).tobytes()) for lang, part in batch.groupby("lang")["word"]]
+            yield pd.DataFrame(out, columns=["lang", "marks"])
+
+    names = _most_used(words, F.col("n_capital") >= NAME_SHARE * F.col("n"), languages)
+    parts: dict[str, list[bytes]] = {}
+    for lang, marks in names.select("lang", "word").mapInPandas(run, "lang string, marks binary").collect():
+        parts.setdefault(lang, []).append(bytes(marks))
+    return {lang: np.sort(np.frombuffer(b"".join(p), dtype=np.uint64)) for lang, p in parts.items()}
+
+
 class _Ranks:
-    """The ranked vocabulary of one language; `pieces` remembers what pieces of text consist of."""
+    """The ranked vocabulary of one language and the marks of its names; `pieces` remembers what pieces of text consist of."""
 
-    def __init__(self, words: list[str]):
+    def __init__(self, words: list[str], names: np.ndarray | None = None):
         self.rank = {w: k for k, w in enumerate(words)}
         self.unknown = len(words)
+        self.names = np.zeros(0, dtype=np.uint64) if names is None else names
         pairs = sorted((ord(w[0]) << 21 | ord(w[1]), k) for w, k in self.rank.items() if len(w) == 2)
         self.keys = np.array([k for k, _ in pairs] or [-1], dtype=np.int64)
         self.at = np.array([k for _, k in pairs] or [0], dtype=np.int64)
-        self.pieces: dict[str, int] = {}
-        self.rows: list[tuple[int, int, int, int, int]] = []
-
-    def piece(self, piece: str) -> int:
-        """The number of a piece; its row: the rank of its first word or -1, letters, long words, commas, sentence ends."""
-        if len(self.pieces) > 400_000:  # only memory of pieces seen before
-            raise OverflowError
-        words = _WORD.findall(piece)
-        known = [w for w in words if w.lower() in self.rank]
-        self.rows.append((self.rank[known[0].lower()] if known else -1, len(known[0]) if known else 0,
-                          int(bool(known) and len(known[0]) >= 9), len(_COMMA.findall(piece)), len(_SENTENCE_END.findall(piece))))
-        code = self.pieces[piece] = len(self.rows) - 1
-        return code
+        self.pieces: dict[str, range] = {}
+        self.rows: list[tuple[int, int, int, int, int, int]] = []
+
+    def of(self, word: str) -> int:
+        """The rank of a word in lower case: that behind the vocabulary for a word outside it, -1 for a name."""
+        rank = self.rank.get(word)
+        if rank is None:
+            mark = np.uint64(_mark(word))
+            at = self.names.searchsorted(mark)
+            rank = -1 if at < len(self.names) and self.names[at] == mark else self.unknown
+        return rank
+
+    def piece(self, piece: str) -> range:
+        """The numbers of the rows of a piece. A row for each word: its rank or -1, letters, long words, commas, sentence ends, words; the marks stand in the last one."""
+        ranked = [(w, self.of(w.lower())) for w in _WORD.findall(piece)]
+        rows = [(rank, len(w), int(len(w) >= 9), 0, 0, 1) if rank >= 0 else (-1, 0, 0, 0, 0, 1) for w, rank in ranked] or [(-1, 0, 0, 0, 0, 0)]
+        rows[-1] = (*rows[-1][:3], len(_COMMA.findall(piece)), len(_SENTENCE_END.findall(piece)), rows[-1][5])
+        codes = self.pieces[piece] = range(len(self.rows), len(self.rows) + len(rows))
+        self.rows += rows
+        return codes
 
     def forget(self) -> None:
         self.pieces, self.rows = {}, []
 
 
 def _spaced(text: str, ranks: _Ranks) -> tuple[np.ndarray, np.ndarray, np.ndarray, float, float, float]:
+    if len(ranks.pieces) > _REMEMBERED:
+        ranks.forget()
     get, codes = ranks.pieces.get, []
     for line in text.split("\n"):
         pieces = line.split()
         for piece in pieces:
-            code = get(piece)
-            codes.append(ranks.piece(piece) if code is None else code)
+            codes += get(piece) or ranks.piece(piece)
         if pieces:
             codes.append(-1)
-    rows = np.array([ranks.rows[c] if c >= 0 else (-1, 0, 0, 0, 1) for c in codes] or [(-1, 0, 0, 0, 1)], dtype=np.int64)
+    rows = np.array([ranks.rows[c] if c >= 0 else (-1, 0, 0, 0, 1, 0) for c in codes] or [(-1, 0, 0, 0, 1, 0)], dtype=np.int64)
     known = rows[:, 0] >= 0
     n = max(1, int(known.sum()))
     sentence = np.cumsum(rows[:, 4] > 0) - (rows[:, 4] > 0)
     words = np.bincount(sentence, weights=known)
     commas = np.bincount(sentence, weights=rows[:, 3])
-    seen = int((rows[:, 0] >= 0).sum()) / max(1, int((rows[:, 4] <= 0).sum()))
+    seen = int((known & (rows[:, 0] < ranks.unknown)).sum()) / max(1, int(rows[:, 5].sum()))
     return rows[known, 0], words, commas, rows[:, 1].sum() / n, rows[:, 2].sum() / n, seen
 
 
@@ -195,21 +262,18 @@ def _features(text: str, ranks: _Ranks) -> tuple[list[float], float]:
             float((commas >= 2).mean()), letters + 4 * long], seen
 
 
-def document_features(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def document_features(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id", names: dict[str, np.ndarray] | None = None) -> DataFrame:
     """(id_col, lang, x array<double>): a row per document with at least MIN_CHARS characters.
 
     A null language becomes the one whose vocabulary knows most of the words; a language without a
     vocabulary keeps its name and is measured by that language's.
     """
-    rows = vocabulary.orderBy("lang", "rank").collect()  # at most VOCABULARY * LANGUAGES words
-    words: dict[str, list[str]] = {}
-    for lang, word, _ in rows:
-        words.setdefault(lang, []).append(word)
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+    shared = docs.sparkSession.sparkContext.broadcast((_word_lists(vocabulary), names or {}))
     key_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranks = {lang: _Ranks(w) for lang, w in shared.value.items()} or {"": _Ranks([])}
+        words, marks = shared.value
+        ranks = {lang: _Ranks(w, marks.get(lang)) for lang, w in words.items()} or {"": _Ranks([])}
         for batch in batches:
             out = []
             for key, lang, text in zip(batch["key"], batch["lang"], batch["text"]):
@@ -217,11 +281,7 @@ def document_features(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc
                 options = [lang] if lang in ranks else list(ranks)
                 scored = []
                 for option in options:
-                    try:
-                        x, seen = _features(text, ranks[option])
-                    except OverflowError:
-                        ranks[option].forget()
-                        x, seen = _features(text, ranks[option])
+                    x, seen = _features(text, ranks[option])
                     scored.append((seen, option, x))
                 seen, option, x = max(scored, key=lambda s: s[0])
                 out.append((key, lang if isinstance(lang, str) else option, x))
@@ -304,5 +364,6 @@ def reading_levels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id") -
     repeated rows give a row each, an empty table gives none. Texts are read whole.
     """
     docs = docs.select(id_col, "text", "lang")
-    features = cut_lineage(document_features(docs, vocabularies(docs), id_col))
+    words = word_counts(docs)
+    features = cut_lineage(document_features(docs, _ranked(words, VOCABULARY, LANGUAGES), id_col, name_marks(words)))
     return levels(features, calibrate(features, labels, id_col), id_col)

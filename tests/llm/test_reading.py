@@ -60,3 +60,28 @@ def test_vocabulary_ranks_follow_frequency(spark):
     got = {(r.lang, r.word): r["rank"] for r in R.vocabularies(docs).collect()}
     assert got[("en", "b")] == 0 and got[("en", "a")] == 1 and got[("en", "c")] == 2 and ("en", "anna") not in got
     assert got[("zh", "你好")] == 0
+
+
+def test_words_outside_the_vocabulary_count_but_names_do_not(spark):
+    docs = spark.createDataFrame([(1, "the the the cat cat sat Anna Anna " * 9 + "perspicacious well-known", "en")], "doc_id bigint, text string, lang string")
+    words = R.word_counts(docs)
+    ranks = R._Ranks(["the", "cat"], R.name_marks(words)["en"])
+    found, *_, letters, long, seen = R._spaced("the Anna cat perspicacious cat/the. annA", ranks)
+    assert found.tolist() == [0, 1, 2, 1, 0] and letters == (4 * 3 + 13) / 5 and long == 1 / 5 and seen == 4 / 7
+    x = {r.doc_id: r.x for r in R.document_features(docs, R.vocabularies(docs, size=2), names=R.name_marks(words)).collect()}
+    assert x[1][0] < x[1][5] == pytest.approx(1.0986122886681098)  # log1p of rank 2, behind the vocabulary
+
+
+def test_texts_without_language_are_counted(spark):
+    rows = [(1, "the cat sat on the mat " * 5, "en"), (2, "el gato duerme en la casa " * 5, "es"), (3, "the cat saw on the mat one marmalade", None), (4, "gato", None)]
+    got = {(r.lang, r.word): r["rank"] for r in R.vocabularies(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert ("en", "marmalade") in got and ("es", "marmalade") not in got and got[("es", "gato")] == 0
+    alone = R.vocabularies(spark.createDataFrame(rows[2:], "doc_id bigint, text string, lang string"))
+    assert {r.lang for r in alone.collect()} == {""}
+
+
+def test_a_text_of_very_many_pieces():
+    ranks = R._Ranks(["a"])
+    text = " ".join(f"{k:x}z" for k in range(400_010))
+    for _ in range(2):
+        assert R._features(text, ranks)[1] < 1
