@@ -2,8 +2,8 @@
 
 Every member of the cast starts as a profile of its canonical name and listed aliases. A typed spelling
 that agrees with exactly one profile is merged into it; the profile then holds that spelling and its
-initials too, and re-enters blocking, so that spellings close to a merged one are linked in the next
-round. The rounds end when nothing more merges.
+initials too, and re-enters blocking, so that spellings that the rules of their script hold for a merged
+one are linked in the next round. The rounds end when nothing more merges.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ _LINKING = frozenset("of the de del la el los las".split())
 _ABBREVIATED = {"soc": "society", "co": "company", "gld": "guild", "assoc": "association"}
 #: A cast is a dictionary that people keep; more names than this are taken for an error.
 MAX_NAMES = 1_000_000
-MAX_ROUNDS = 8
 
 _INF = float("inf")
 _TRIM = " \t　:：,，.。;；-–—*\"'|>〉»、"
@@ -143,11 +142,16 @@ class Cast:
             return None
         if len(self.exact.get(name, ())) == 1:
             return next(iter(self.exact[name])), 0.0
-        costs = sorted((self._cost(name, spelling, m), m.canonical) for m in self.members)
-        costs = [c for c in costs if c[0] < _INF]
-        if not costs or len(costs) > 1 and costs[1][0] - costs[0][0] < 0.35:
+        return _only({m.canonical: self._cost(name, spelling, m) for m in self.members})
+
+    def rematch(self, spelling: str, merged: list[tuple[str, str]]) -> tuple[str, float] | None:
+        """As `match`, with profiles that also hold the merged spellings, pairs of (canonical name, spelling)."""
+        extra: dict[str, float] = {}
+        for canonical, other in merged:
+            extra[canonical] = min(extra.get(canonical, _INF), rematch_cost(spelling, other))
+        if all(c == _INF for c in extra.values()) or not bare(spelling):
             return None
-        return costs[0][1], costs[0][0]
+        return _only({m.canonical: min(self._cost(bare(spelling), spelling, m), extra.get(m.canonical, _INF)) for m in self.members})
 
     def _cost(self, name: str, spelling: str, m: Member) -> float:
         if m.kind == "kana":
@@ -210,6 +214,14 @@ class Cast:
         return _INF
 
 
+def _only(fits: dict[str, float]) -> tuple[str, float] | None:
+    """(name, cost) of the one that fits clearly best."""
+    costs = sorted((c, k) for k, c in fits.items() if c < _INF)
+    if not costs or len(costs) > 1 and costs[1][0] - costs[0][0] < 0.35:
+        return None
+    return costs[0][1], costs[0][0]
+
+
 def _person_cost(t: list[str], m: Member) -> float:
     given, surname = m.words
     best = _INF
@@ -322,15 +334,59 @@ def _readings(casts: dict[str, dict[str, list[str]]]) -> dict[str, str]:
 
 
 def block_keys(spelling: str) -> list[str]:
-    """The beginnings and ends by which close spellings meet, and the initials."""
+    """The beginnings and ends by which close spellings meet, shorter ones for short spellings, and the initials in any order."""
     letters = re.sub(r"[\W_]+", "", bare(spelling))
-    words = bare(spelling).split()
+    words = _words(spelling)
     keys = {f"<{letters[:3]}", f">{letters[-3:]}"} if letters else set()
+    if 0 < len(letters) <= 6:
+        keys |= {f"<{letters[0]}", f">{letters[-1]}"}
     if len(words) > 1:
-        keys.add("=" + "".join(w[0] for w in words))
+        keys.add("=" + "".join(sorted(w[0] for w in words)))
+        keys.add("=" + "".join(sorted(w[0] for w in words if w not in _LINKING)))
+    elif len(letters) <= 6:
+        keys.add("=" + "".join(sorted(letters)))  # it may be initials itself
     return sorted(keys)
 
 
+def _words(spelling: str) -> list[str]:
+    """The words of a spelling without title and marks."""
+    return [x for w in _without_title(bare(spelling).split())[0] for x in re.split(r"[\W_・]+", w) if x]
+
+
+@lru_cache(maxsize=100_000)
+def _profiled(spelling: str) -> Member:
+    """A merged spelling, taken apart as a canonical name is."""
+    return Member(" ".join(_words(spelling)), [])
+
+
+def rematch_cost(spelling: str, merged: str) -> float:
+    """How badly a spelling fits one that is merged into a profile, by the rules of the script; infinite if it does not.
+
+    A part of a merged spelling is no evidence, as the order of its parts is not known; one error is, in six characters or more.
+    """
+    words, m = _words(spelling), _profiled(merged)
+    typed, meant = "".join(words), "".join(m.words)
+    if not typed or not meant or spelling.lstrip()[:1] in "[【" or re.search(r"\d", typed + meant):
+        return _INF
+    if typed == meant:
+        return 0.0
+    if m.kind == "latin" and re.fullmatch(r"\s*(?:\w\.\s*){2,}", spelling) and typed == "".join(w[0] for w in m.words):
+        return 0.6
+    most = 1.0 if min(len(typed), len(meant)) >= 6 else 0.7
+    if m.kind == "han":
+        cost = Cast({})._han_cost(bare(spelling), m) if len(typed) > 1 and len(meant) > 1 and not bare(spelling).isascii() else _INF
+        return cost if cost <= 1.0 else _INF
+    if len(words) == len(m.words):
+        cost = _kana_cost(bare(spelling), m) if m.kind == "kana" else _person_cost(words, m) if len(words) == 2 else _INF
+        if min(len(typed), len(meant)) >= 6:
+            cost = min(cost, edits(" ".join(words), " ".join(m.words), 1))
+    else:
+        cost = _INF
+    if m.kind == "latin" and len(m.words) > 2:
+        cost = min(cost, _group_cost(words, bare(spelling), m))
+    return cost if cost <= most else _INF
+
+
 def link_spellings(spellings: DataFrame, configs: DataFrame) -> DataFrame:
     """(work_id, speaker, canonical): the typed spellings that name a member of the work's cast.
 
@@ -357,25 +413,31 @@ def link_spellings(spellings: DataFrame, configs: DataFrame) -> DataFrame:
     schema = "work_id string, speaker string, canonical string, keys array<string>"
     state = cut_lineage(spellings.filter("speaker is not null and trim(speaker) <> ''").mapInPandas(first, schema))
 
-    def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        named, readings = shared.value
+        made: dict[str, Cast] = {}
         for batch in batches:
-            a, b = batch["speaker"].map(bare), batch["merged"].map(bare)
-            keep = [min(len(x), len(y)) >= 6 and len(x.split()) == len(y.split()) and edits(x, y, 1) <= 1 and not re.search(r"\d", x + y) for x, y in zip(a, b)]
-            yield batch.loc[keep, ["work_id", "speaker", "canonical"]]
-
-    newest = state.filter("canonical is not null")
-    for _ in range(MAX_ROUNDS):
+            out = []
+            for work, speaker, merged in zip(batch["work_id"], batch["speaker"], batch["merged"]):
+                if work not in made:
+                    made[work] = Cast(named[work], readings)
+                found = made[work].rematch(speaker, [(m["canonical"], m["merged"]) for m in merged])
+                if found:
+                    out.append((work, speaker, found[0]))
+            yield pd.DataFrame(out, columns=["work_id", "speaker", "canonical"])
+
+    listed = [(w, k, f, block_keys(f)) for w, cast in casts.items() for k, forms in cast.items() for f in {k, *forms} if k and f]
+    cast_rows = spellings.sparkSession.createDataFrame(listed, "work_id string, canonical string, merged string, keys array<string>")
+    while True:  # each round links a spelling at least
         open_ = state.filter("canonical is null").select("work_id", "speaker", F.explode("keys").alias("key"))
-        profile = newest.select("work_id", "canonical", F.col("speaker").alias("merged"), F.explode("keys").alias("key"))
-        pairs = open_.join(profile, ["work_id", "key"]).select("work_id", "speaker", "canonical", "merged").distinct()
-        agreed = pairs.mapInPandas(close, "work_id string, speaker string, canonical string").groupBy("work_id", "speaker").agg(
-            F.min("canonical").alias("canonical"), F.max("canonical").alias("other")).filter("canonical = other").drop("other")
-        merged = cut_lineage(agreed)
+        profile = state.filter("canonical is not null").select("work_id", "canonical", F.col("speaker").alias("merged"), "keys").unionByName(cast_rows)
+        pairs = open_.join(profile.withColumn("key", F.explode("keys")).drop("keys"), ["work_id", "key"])
+        blocks = pairs.groupBy("work_id", "speaker").agg(F.collect_set(F.struct("canonical", "merged")).alias("merged"))
+        merged = cut_lineage(blocks.mapInPandas(again, "work_id string, speaker string, canonical string"))
         if merged.isEmpty():
             break
         state = cut_lineage(state.join(merged.withColumnRenamed("canonical", "found"), ["work_id", "speaker"], "left").select(
             "work_id", "speaker", F.coalesce("canonical", "found").alias("canonical"), "keys"))
-        newest = state.join(merged.select("work_id", "speaker"), ["work_id", "speaker"], "left_semi")
     return state.filter("canonical is not null").select("work_id", "speaker", "canonical")
 
 

@@ -49,3 +49,15 @@ def test_rematch_links_what_is_close_to_a_merged_spelling(spark):
     got = {r.speaker: r.canonical for r in N.link_spellings(spellings, configs).collect()}
     assert got["Professor Nolon Tezzock"] == "Nolon Tezock" and "Dock Guard" not in got
     assert {r.event_id for r in N.link_events(events, runs, configs).collect()} >= {"1"}
+
+
+def test_rematch_in_every_script_until_nothing_merges(spark):
+    chain = ["Bramuck Sidel"]
+    for k in range(11):  # each is one error from the one before; the first fits the member, the others only the one before
+        chain.append(chain[-1][: k % 6] + "xyzwvutsrqp"[k] + chain[-1][k % 6:])
+    linked = [*chain, "G.S.", "砚沐夕", "砚沐溪", "砚牧溪", "Sidel", "Guard of Sidel", "門番", "砚家的仆人", "B. K."]
+    configs = spark.createDataFrame([("w", {**LATIN, **HAN, **KANA})], "work_id string, speaker_aliases map<string,array<string>>")
+    got = {r.speaker: r.canonical for r in N.link_spellings(spark.createDataFrame([("w", x) for x in linked], "work_id string, speaker string"), configs).collect()}
+    assert {got.get(x) for x in chain} == {"Bramuck Sidel"}
+    assert got["G.S."] == "Gikáck Sidel" and got["砚沐溪"] == got["砚牧溪"] == "砚沐夕"
+    assert not {"Sidel", "Guard of Sidel", "門番", "砚家的仆人", "B. K."} & set(got)
