@@ -432,3 +432,23 @@ def p3_candidates(spark, folder):
 @query
 def p3_lines(spark, folder):
     return inlining.flat_table(_shredded(spark, folder), "lines", ["text", "box.x", "box.y", "box.w", "box.h", "conf"])
+
+
+@query
+def p3_records(spark, folder):
+    return inlining.flat_table(_shredded(spark, folder), inlining.ROOT, ["video_id", "event_id", "start_ms", "end_ms", "speaker", "text", "confidence", "provenance.source_file", "key.video_id", "key.event_id"])
+
+
+@query
+def p3_glyphs(spark, folder):
+    return inlining.flat_table(_shredded(spark, folder), "glyphs", ["ch", "conf"])
+
+
+@query
+def p3_attempts(spark, folder):
+    return inlining.flat_table(_shredded(spark, folder), "attempts", ["profile", "ms"])
+
+
+@query
+def p3_crops(spark, folder):
+    return inlining.flat_table(_shredded(spark, folder), "crops", ["kind", "file"])

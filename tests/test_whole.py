@@ -1,5 +1,7 @@
 """Queries that do the whole of a job of which SQL can check a part only, on small tables in several scripts."""
 
+import json
+
 import pytest
 
 import __spark_entry__ as entry
@@ -9,6 +11,7 @@ SCHEMAS = {
     "corrections": "video_id string, event_id string, text string, accepted boolean",
     "video_runs": "video_id string, work_id string, kind string, status string",
     "work_configs": "work_id string, speaker_aliases map<string,array<string>>, special_speakers map<string,string>",
+    "raw_records": "raw_id bigint, payload string",
 }
 
 
@@ -70,3 +73,15 @@ def test_phrases_in_unspaced_scripts(run):
     texts = ["没关系的。", "真的没关系", "没关系", "Well I never", "well, I never!", "WELL I never did"]
     got = {(r.phrase, r.n) for r in run("catchphrase_ngrams_all", dialogue_events=[event("v", k, t, "a") for k, t in enumerate(texts)])}
     assert got == {("没关系", 3), ("well i never", 3)}
+
+
+def test_every_table_of_the_raw_records_comes_out(spark, run, tmp_path):
+    record = {"key": {"videoId": "v", "eventId": "e"}, "startMs": 5, "endMs": 9, "speaker": "Anna", "text": "你好", "confidence": 0.5, "provenance": {"source_file": "x.mp4"}, "attempts": [{"profile": "p", "ms": 7}],
+              "crops": [{"kind": "name", "file": "a.png"}], "ocr_candidates": [{"engine": "o", "text": "你", "lines": [{"text": "你", "glyphs": [{"ch": "你", "conf": 0.9}, {"ch": "好"}]}]}]}
+    rows = [(1, json.dumps(record)), (2, "broken"), (3, None)]
+    (r,) = run("p3_records", raw_records=rows)
+    assert (r.raw_id, r.key_video_id, r.key_event_id, r.start_ms, r.end_ms, r.speaker, r.text, r.confidence, r.provenance_source_file) == (1, "v", "e", "5", "9", "Anna", "你好", "0.5", "x.mp4")
+    got = {name: {tuple(x[c] for c in columns) for x in entry.queries()[name](spark, str(tmp_path)).collect()} for name, columns in {
+        "p3_glyphs": ("path", "parent_path", "ch", "conf"), "p3_attempts": ("path", "profile", "ms"), "p3_crops": ("path", "kind", "file")}.items()}
+    line = "$.ocr_candidates[0].lines[0]"
+    assert got == {"p3_glyphs": {(f"{line}.glyphs[0]", line, "你", "0.9"), (f"{line}.glyphs[1]", line, "好", None)}, "p3_attempts": {("$.attempts[0]", "p", "7")}, "p3_crops": {("$.crops[0]", "name", "a.png")}}
