@@ -13,8 +13,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType
 
+from .text import ASCII_PUNCTUATION, WIDE_PUNCTUATION
+
 PREFIX_THRESHOLD, SHORT_DISCOUNT, SHORT_LENGTH = 0.65, 0.2, 5
-_PUNCTUATION = str.maketrans({"（": "(", "）": ")", "。": ".", "，": ",", "！": "!", "？": "?", "：": ":", "；": ";", "～": "~", "…": "...", "—": "-", "　": " "})
+_PUNCTUATION = str.maketrans(dict(zip(WIDE_PUNCTUATION, ASCII_PUNCTUATION)) | {"…": "..."})
 
 
 def ratio_of(a: str, b: str) -> float:

@@ -20,10 +20,10 @@ def distinct_events(events: DataFrame) -> DataFrame:
         F.max("confidence").alias("confidence"), F.max("review_required").alias("review_required"), F.max("source_file").alias("source_file"))
 
 
-def transcript(events: DataFrame, include_flagged: bool = False) -> DataFrame:
-    """(video_id, event_id, line): rendered lines; without the events that need review unless asked for."""
+def transcript(events: DataFrame, include_flagged: bool = False, *others: str) -> DataFrame:
+    """(video_id, event_id, others, line): rendered lines; without the events that need review unless asked for."""
     kept = events if include_flagged else events.filter(~F.coalesce("review_required", F.lit(False)))
-    return kept.select(*KEY, T.transcript_line(F.col("start_ms"), F.col("speaker"), F.col("text")).alias("line"))
+    return kept.select(*KEY, *others, T.transcript_line(F.col("start_ms"), F.col("speaker"), F.col("text")).alias("line"))
 
 
 def srt(events: DataFrame) -> DataFrame:
@@ -87,9 +87,30 @@ def union_summaries(ok: DataFrame, errors: DataFrame) -> DataFrame:
     return ok.unionByName(errors, allowMissingColumns=True)
 
 
+def number_of(event_id: Column) -> Column:
+    """The number at the end of an event id; null where it has none."""
+    return F.regexp_extract(event_id, r"(\d{1,18})$", 1).try_cast("bigint")
+
+
 def last_event(events: DataFrame) -> DataFrame:
-    """Per video the last event id and the number of events, as a reader of the file's end would see them."""
-    return events.groupBy("video_id").agg(F.max("event_id").alias("last_event_id"), F.count("*").alias("event_count"))
+    """Per video the id of the event that was written last, which is the one with the greatest number, and the number of events."""
+    place = F.struct(number_of(F.col("event_id")), F.col("event_id"))
+    return events.groupBy("video_id").agg(F.max_by("event_id", place).alias("last_event_id"), F.count("*").alias("event_count"))
+
+
+def resume_points(events: DataFrame, checkpoints: DataFrame) -> DataFrame:
+    """(video_id, last_processed_ms, event_count): where each checkpointed video goes on, and the number of its last event.
+
+    A checkpoint (video_id, last_event_id, last_processed_ms) that names another last event than the
+    written events have raises an error: going on would repeat or lose some. One without a last event, or
+    a video without events, goes on with what is there.
+    """
+    tail = last_event(events).withColumnRenamed("last_event_id", "_written")
+    joined = checkpoints.select("video_id", "last_event_id", "last_processed_ms").join(tail, "video_id", "left")
+    differs = (F.coalesce("last_event_id", F.lit("")) != "") & F.col("_written").isNotNull() & (F.col("_written") != F.col("last_event_id"))
+    message = F.concat(F.lit("checkpoint of "), "video_id", F.lit(" names "), "last_event_id", F.lit(", its events end with "), "_written")
+    count = F.when(differs, F.raise_error(message).cast("bigint")).otherwise(F.coalesce("event_count", F.lit(0)))
+    return joined.select("video_id", "last_processed_ms", count.alias("event_count"))
 
 
 def after_checkpoint(events: DataFrame, checkpoints: DataFrame) -> DataFrame:

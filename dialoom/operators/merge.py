@@ -11,7 +11,7 @@ from dialoom.functions import text as T
 from dialoom.functions.similarity import fuzzy_prefix
 from dialoom.session import cut_lineage
 
-from .ordered import neighbour, time_chunk
+from .ordered import NO_CHUNK, neighbour, time_chunk
 
 MAX_GAP_MS = 5000
 
@@ -28,10 +28,11 @@ def merge_fragments(events: DataFrame, is_prefix: Callable[[Column, Column], Col
     A fragment is an event whose text is a prefix of the next one's, of the same speaker (null equals
     null), less than `max_gap_ms` before it. From left to right every pair is merged once, and a merged
     event is not compared again; so in a run of fragments every second one goes. `merged_from` names the
-    fragment. Display text is dropped; with `compat` not in videos of fewer than two events.
+    fragment. Display text is dropped; with `compat` not in videos of fewer than two events. Events without a
+    start come first and never merge; those without a video form one of their own.
     """
     order, part = ["start_ms", "event_id"], ["video_id", "_chunk"]
-    rows = events.withColumn("_chunk", time_chunk(F.col("start_ms"), chunk_ms))
+    rows = events.withColumn("_chunk", F.coalesce(time_chunk(F.col("start_ms"), chunk_ms), F.lit(NO_CHUNK)))
     ahead = neighbour(rows, ["video_id"], "_chunk", order, ["start_ms", "speaker", "text"], "next_", following=True)
     gap = F.col("next_start_ms") - F.col("end_ms") < max_gap_ms
     cheap = F.col("next_found") & gap & F.col("speaker").eqNullSafe(F.col("next_speaker")) & (F.char_length("text") < F.char_length("next_text"))
@@ -52,7 +53,8 @@ def merge_fragments(events: DataFrame, is_prefix: Callable[[Column, Column], Col
     linked = chunks.withColumn("group", F.sum(F.when(F.col("whole"), 0).otherwise(1)).over(between.rowsBetween(Window.unboundedPreceding, 0)))
     summed = linked.withColumn("total", F.sum("run").over(Window.partitionBy("video_id", "group").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, 0)))
     carried = summed.select(*part, F.lag("total").over(between).alias("_before"), F.lag("end").over(between).alias("_end"))
-    joined = runs.join(carried, part)
+    joined = runs.withColumn("_video", F.struct("video_id")).join(  # a video without an id has a struct, too
+        carried.select(F.struct("video_id").alias("_video"), "_chunk", "_before", "_end"), ["_video", "_chunk"])
     length = F.col("_run") + F.when(F.col("_off") == 0, F.coalesce("_before", F.lit(0))).otherwise(0)
     marked = joined.withColumn("_goes", F.col("_flag") & (length % 2 == 1))
     here = F.lag(F.struct("_goes", "start_ms", "event_id")).over(inside)

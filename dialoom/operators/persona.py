@@ -21,24 +21,23 @@ ROUTES = (
 MAX_NAMES = 1_000_000
 
 #: Characters of scripts without blanks: Chinese and Japanese, without the middle dot.
-_UNSPACED = r"\x{3005}-\x{3007}\x{3041}-\x{309f}\x{30a1}-\x{30fa}\x{30fc}-\x{30ff}\x{31f0}-\x{31ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{ff66}-\x{ff9f}\x{20000}-\x{3ffff}"
+UNSPACED = r"\x{3005}-\x{3007}\x{3041}-\x{309f}\x{30a1}-\x{30fa}\x{30fc}-\x{30ff}\x{31f0}-\x{31ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{ff66}-\x{ff9f}\x{20000}-\x{3ffff}"
 
 
 def tokens(text: Column) -> Column:
     """The words of a text; in scripts without blanks each character is one."""
-    return F.regexp_extract_all(text, F.lit(rf"([{_UNSPACED}]|[\p{{L}}\p{{N}}'&&[^{_UNSPACED}]]+)"), F.lit(1))
+    return F.regexp_extract_all(text, F.lit(rf"([{UNSPACED}]|[\p{{L}}\p{{N}}'&&[^{UNSPACED}]]+)"), F.lit(1))
 
 
-def phrases(events: DataFrame, size: int = 3, at_least: int = 3, characters: bool = False) -> DataFrame:
-    """(speaker, phrase, n): sequences of `size` words that a speaker says at least `at_least` times. Words are cut at blanks, in lower case;
-    with `characters`, those of scripts without blanks into their characters, which a phrase holds without blanks between them."""
-    words = tokens(F.lower("text")) if characters else F.filter(F.split(F.lower(F.regexp_replace("text", r"[^\p{L}\p{N}' ]+", " ")), " +"), lambda w: w != "")
+def phrases(events: DataFrame, size: int = 3, at_least: int = 3) -> DataFrame:
+    """(speaker, phrase, n): sequences of `size` words that a speaker says at least `at_least` times, in lower case. In scripts without
+    blanks every character is a word, and a phrase holds no blanks between them. Null speakers and texts say nothing."""
+    words = tokens(F.lower("text"))
     starts = F.sequence(F.lit(1), F.size(words) - size + 1)
     grams = F.when(F.size(words) >= size, F.transform(starts, lambda k: F.array_join(F.slice(words, k, size), " ")))
     said = events.filter("speaker is not null").select("speaker", F.explode(grams).alias("phrase"))
-    if characters:
-        said = said.withColumn("phrase", F.regexp_replace("phrase", f"(?<=[{_UNSPACED}]) (?=[{_UNSPACED}])", ""))
-    return said.groupBy("speaker", "phrase").agg(F.count("*").alias("n")).filter(F.col("n") >= at_least)
+    joined = said.withColumn("phrase", F.regexp_replace("phrase", f"(?<=[{UNSPACED}]) (?=[{UNSPACED}])", ""))
+    return joined.groupBy("speaker", "phrase").agg(F.count("*").alias("n")).filter(F.col("n") >= at_least)
 
 
 def token_counts(events: DataFrame, tokens=PARTICLES) -> DataFrame:
@@ -47,20 +46,6 @@ def token_counts(events: DataFrame, tokens=PARTICLES) -> DataFrame:
     return events.filter("speaker is not null").select("speaker", found.alias("token")).groupBy("speaker", "token").agg(F.count("*").alias("n"))
 
 
-def address_forms(events: DataFrame, names: DataFrame) -> DataFrame:
-    """(speaker, name, n): whom a speaker mentions by a name of exactly two words; `mentions` finds the others too.
-
-    names: (work_id, name); events need work_id.
-
-    The names that a text holds are taken out of it by an equi-join on its word pairs, not by comparing
-    every text with every name.
-    """
-    words = F.split(F.regexp_replace("text", r"[^\p{L}\p{N}' ]+", " "), " +")
-    pairs = F.when(F.size(words) > 1, F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda k: F.concat_ws(" ", F.element_at(words, k), F.element_at(words, k + 1))))
-    said = events.filter("speaker is not null").select("work_id", "speaker", F.explode(pairs).alias("name"))
-    return said.join(names.select("work_id", "name").distinct(), ["work_id", "name"]).groupBy("speaker", "name").agg(F.count("*").alias("n"))
-
-
 def mentions(events: DataFrame, names: DataFrame) -> DataFrame:
     """(speaker, name, n): whom a speaker mentions, by names of any length and script. names: (work_id, name); events need work_id.
 

@@ -9,37 +9,46 @@ from dialoom.session import cut_lineage
 
 from .ordered import neighbour, running, time_chunk
 
-#: A frame this much before the grid time still serves; one this much after it does not.
-TOLERANCE_S, LOOK_AHEAD_S = 0.1, 2.0
+#: A frame this much before the grid time still serves.
+TOLERANCE_S = 0.1
 
 
-def sample_grid(frames: DataFrame, step: float, columns: list[str], key: str = "key", ts: str = "ts", start: float = 0.0, end: float | None = None,
-                tolerance: float = TOLERANCE_S, look_ahead: float = LOOK_AHEAD_S) -> DataFrame:
-    """(key, grid_ts, frame_ts, columns): for each grid time the first frame at or after it, less the tolerance.
+def sample_grid(frames: DataFrame, step: float, columns: list[str], key: str = "key", ts: str = "ts", start: float = 0.0,
+                end: float | None = None, tolerance: float = TOLERANCE_S, chunk_s: float = 3600.0) -> DataFrame:
+    """(key, grid_ts, frame_ts, columns): for each grid time the first frame at or after it, less the tolerance, however far ahead.
 
-    A forward as-of join without a join: every frame is sent to the grid times it can serve, which are
-    those between its predecessor and itself, and the first one is kept by a partial aggregate. Grid
-    times that no frame follows within the look-ahead give no row. Repeated frames at one time serve with
-    the greatest values.
+    A forward as-of join without a join: a frame serves the grid times that lie after what its predecessor
+    serves, so every result row is made once, from its frame and that one's time. The grid ends with the
+    last frame of a key, or before `end`. Of frames at one time the one with the least values serves.
+    Frames without a time serve none; an empty table gives no rows.
     """
-    step_, limit = F.lit(float(step)), F.col(ts) + tolerance
-    window_low = F.greatest(F.ceil((F.col(ts) - look_ahead - start) / step_), F.lit(0))
-    high = F.floor((limit - start) / step_) if end is None else F.least(F.floor((limit - start) / step_), F.lit(int(-((start - end) // step)) - 1))
-    slots = F.when(high >= window_low, F.sequence(window_low.cast("bigint"), high.cast("bigint")))
-    best = F.min_by(F.struct(ts, *columns), F.struct(F.col(ts), *[F.col(c) for c in columns]))
-    sent = frames.select(key, ts, *columns, F.explode(slots).alias("slot"))
-    # rounding of the division must not let a frame in that the exact comparison keeps out
-    exact = sent.withColumn("grid_ts", F.col("slot") * step_ + start).filter((F.col(ts) >= F.col("grid_ts") - tolerance) & (F.col(ts) <= F.col("grid_ts") + look_ahead))
-    found = exact.groupBy(key, "grid_ts").agg(best.alias("f"))
-    return found.select(key, "grid_ts", F.col("f")[ts].alias("frame_ts"), *[F.col("f")[c].alias(c) for c in columns])
-
-
-def frame_at(frames: DataFrame, times: DataFrame, key: str = "key", ts: str = "ts", columns: tuple[str, ...] = ()) -> DataFrame:
-    """(key, at, frame_ts, columns): the first frame at or after each asked time; null where there is none."""
-    asked = times.select(key, "at").distinct()
-    pairs = asked.join(frames.select(key, ts, *columns), key).filter(F.col(ts) >= F.col("at"))
-    found = pairs.groupBy(key, "at").agg(F.min_by(F.struct(ts, *columns), F.struct(ts, *columns)).alias("f"))
-    return asked.join(found, [key, "at"], "left").select(key, "at", F.col("f")[ts].alias("frame_ts"), *[F.col("f")[c].alias(c) for c in columns])
+    rows = frames.filter(F.col(ts).isNotNull()).select(key, ts, *columns).withColumn("_chunk", time_chunk(F.col(ts), chunk_s))
+    near = neighbour(rows, [key], "_chunk", [ts, *columns], [ts], "before_")
+    slot_of = lambda time: F.floor((time + tolerance - start) / float(step)).cast("bigint")
+    # one slot more at either side; the exact comparison below decides, as a division is rounded
+    low = F.greatest(F.coalesce(slot_of(F.col(f"before_{ts}")), F.lit(0)), F.lit(0))
+    slots = F.sequence(low, F.greatest(slot_of(F.col(ts)) + 1, low))
+    sent = near.select(key, ts, f"before_{ts}", *columns, F.explode(slots).alias("slot")).withColumn("grid_ts", F.col("slot") * F.lit(float(step)) + start)
+    from_ = F.col("grid_ts") - tolerance
+    served = (F.col(ts) >= from_) & ~F.coalesce(F.col(f"before_{ts}") >= from_, F.lit(False))
+    if end is not None:
+        served = served & (F.col("grid_ts") < end)
+    return sent.filter(served).select(key, "grid_ts", F.col(ts).alias("frame_ts"), *columns)
+
+
+def frame_at(frames: DataFrame, times: DataFrame, key: str = "key", ts: str = "ts", columns: tuple[str, ...] = (), chunk_s: float = 3600.0) -> DataFrame:
+    """(key, at, frame_ts, columns): the first frame at or after each asked time; null where there is none.
+
+    Asked times and frames are one sequence in which every asked time looks ahead to the next frame, so no
+    pairs are made. Of frames at one time the one with the least values counts.
+    """
+    frame = F.struct(F.col(ts), *columns)
+    shown = frames.filter(F.col(ts).isNotNull()).select(key, F.col(ts).cast("double").alias("_at_ts"), frame.alias("_frame"))
+    asked = times.select(key, F.col("at").cast("double").alias("_at_ts")).distinct().select(key, "_at_ts", F.lit(None).cast(shown.schema["_frame"].dataType).alias("_frame"))
+    both = shown.unionByName(asked).withColumns({"_chunk": time_chunk(F.col("_at_ts"), chunk_s), "_shown": F.col("_frame").isNotNull()})
+    ahead = running(both, [key], "_chunk", ["_at_ts", "_shown", "_frame"], F.col("_frame"), "last", "_next", backwards=True)
+    return ahead.filter(~F.col("_shown")).select(
+        key, F.col("_at_ts").alias("at"), F.col("_next")[ts].alias("frame_ts"), *[F.col("_next")[c].alias(c) for c in columns])
 
 
 def detect_changes(signal: DataFrame, key: str = "key", ts: str = "ts", value: str = "value", threshold: float = 0.05, scale: float = 255.0, chunk_s: float = 86_400.0, ties: tuple[str, ...] = ()) -> DataFrame:

@@ -15,14 +15,16 @@ SPECIAL_SPEAKERS = {"旁白": "[旁白]", "系统": "[系统]", "???": "[未知]
 
 
 def alias_table(configs: DataFrame) -> DataFrame:
-    """(work_id, alias, canonical): aliases and canonical names themselves; of canonical names that share an alias the last one has it."""
-    entries = configs.select("work_id", F.explode("speaker_aliases").alias("canonical", "aliases"))
-    typed = entries.select("work_id", "canonical", F.explode(F.array_append(F.coalesce("aliases", F.array().cast("array<string>")), F.col("canonical"))).alias("alias"))
-    return typed.filter("alias is not null").groupBy("work_id", "alias").agg(F.max("canonical").alias("canonical"))
+    """(work_id, alias, canonical): the listed aliases; of canonical names that share an alias the last one listed has it."""
+    entries = configs.select("work_id", F.posexplode("speaker_aliases").alias("place", "canonical", "aliases"))
+    typed = entries.select("work_id", "place", "canonical", F.explode("aliases").alias("alias")).filter("alias is not null")
+    return typed.groupBy("work_id", "alias").agg(F.max_by("canonical", F.struct("place", "canonical")).alias("canonical"))
 
 
 def special_table(configs: DataFrame) -> DataFrame:
-    return configs.select("work_id", F.explode("special_speakers").alias("alias", "canonical")).filter("canonical is not null").groupBy("work_id", "alias").agg(F.max("canonical").alias("special"))
+    """(work_id, alias, special): the special names, which win over aliases."""
+    special = configs.select("work_id", F.explode("special_speakers").alias("alias", "special")).filter("special is not null")
+    return special.groupBy("work_id", "alias").agg(F.max("special").alias("special"))
 
 
 def normalize_speakers(events: DataFrame, configs: DataFrame) -> DataFrame:
@@ -34,10 +36,11 @@ def normalize_speakers(events: DataFrame, configs: DataFrame) -> DataFrame:
 
 
 def known_speakers(configs: DataFrame) -> DataFrame:
-    """(work_id, speaker): canonical and special names, each once."""
+    """(work_id, speaker): special names as they are typed, canonical names and all their aliases, each once."""
     canonical = configs.select("work_id", F.explode(F.map_keys("speaker_aliases")).alias("speaker"))
-    special = configs.select("work_id", F.explode(F.map_values("special_speakers")).alias("speaker"))
-    return canonical.union(special).distinct()
+    aliases = configs.select("work_id", F.explode(F.map_values("speaker_aliases")).alias("typed")).select("work_id", F.explode("typed").alias("speaker"))
+    special = configs.select("work_id", F.explode(F.map_keys("special_speakers")).alias("speaker"))
+    return canonical.union(aliases).union(special).filter("speaker is not null").distinct()
 
 
 def inherit_speakers(rows: DataFrame, floor: float = CONFIDENCE_FLOOR, chunk_ms: int = 1_800_000) -> DataFrame:
@@ -53,30 +56,35 @@ def inherit_speakers(rows: DataFrame, floor: float = CONFIDENCE_FLOOR, chunk_ms:
     return carried.withColumns({"inherited_speaker": F.col("_good.speaker"), "inherited_confidence": F.coalesce("_good.speaker_confidence", F.lit(0.0))}).drop("_good")
 
 
-def parse_labels(rows: DataFrame, known: DataFrame) -> DataFrame:
-    """rows (work_id, speaker, text, confidence) where a text without speaker may begin with a known name and a blank.
+def parse_labels(rows: DataFrame, configs: DataFrame) -> DataFrame:
+    """rows (work_id, speaker, text, confidence) where a text without a speaker may begin with a known name and a blank.
 
-    Such a row gets the name as speaker, the rest as text, and the event's confidence as the speaker's.
+    The stripped text is cut at its first blank. If the part before it is a known name (special, canonical
+    or alias) and something follows, that name, normalised, becomes the speaker, the rest the text, and the event's
+    confidence that of the speaker. Other rows stay as they are, with a null speaker_confidence.
     """
-    left, right = F.substring_index("text", " ", 1), F.expr("substring(text, instr(text, ' ') + 1)")
-    could = F.col("speaker").isNull() & (F.instr("text", " ") > 1) & (F.trim(right) != "")
-    marked = rows.withColumn("_name", F.when(could, left))
-    names = known.select(F.col("work_id"), F.col("speaker").alias("_name"), F.lit(True).alias("_known"))
-    joined = marked.join(names, ["work_id", "_name"], "left")
+    whole = T.strip(F.col("text"))
+    label, rest = T.strip(F.substring_index(whole, " ", 1)), T.strip(F.expr("substring(_whole, instr(_whole, ' ') + 1)"))
+    could = F.col("speaker").isNull() & (F.instr("_whole", " ") > 0) & (rest != "")
+    marked = rows.withColumn("_whole", whole).withColumn("_label", F.when(could, label))
+    names = known_speakers(configs).select("work_id", F.col("speaker").alias("_label"), F.lit(True).alias("_known"))
+    special = special_table(configs).withColumnsRenamed({"alias": "_label", "special": "_special"})
+    aliases = alias_table(configs).withColumnsRenamed({"alias": "_label", "canonical": "_canonical"})
+    named = names.join(special, ["work_id", "_label"], "left").join(aliases, ["work_id", "_label"], "left")
+    meant = named.select("work_id", "_label", "_known", F.coalesce("_special", "_canonical", "_label").alias("_meant"))
+    joined = marked.join(meant, ["work_id", "_label"], "left")
     hit = F.coalesce("_known", F.lit(False))
     return joined.withColumns({
-        "speaker": F.when(hit, F.col("_name")).otherwise(F.col("speaker")), "text": F.when(hit, right).otherwise(F.col("text")),
-        "speaker_confidence": F.when(hit, F.col("confidence"))}).drop("_name", "_known")
+        "speaker": F.when(hit, F.col("_meant")).otherwise(F.col("speaker")), "text": F.when(hit, rest).otherwise(F.col("text")),
+        "speaker_confidence": F.when(hit, F.col("confidence"))}).drop("_whole", "_label", "_known", "_meant")
 
 
-def label_events(rows: DataFrame, configs: DataFrame) -> DataFrame:
-    """parse_labels over rows with their own speaker and text: whoever has no speaker may get one from the stripped text.
+def attribute_events(events: DataFrame, configs: DataFrame) -> DataFrame:
+    """events (work_id, speaker, speaker_confidence, text, confidence) with final speakers.
 
-    Labels are canonical names, aliases and special speakers; the one found is normalised. Other rows stay as they are, with a null
-    speaker_confidence.
+    A speaker that was read is normalised and keeps its confidence; an event without one may carry it at
+    the beginning of its text. Else the speaker is null and its confidence 0.
     """
-    labels = alias_table(configs).select("work_id", F.col("alias").alias("speaker")).union(special_table(configs).select("work_id", "alias")).distinct()
-    parsed = parse_labels(rows.withColumns({"_speaker": F.col("speaker"), "_text": F.col("text"), "text": T.strip(F.col("text"))}), labels)
-    hit = F.col("_speaker").isNull() & F.col("speaker").isNotNull()
-    return normalize_speakers(parsed, configs).withColumns({
-        "speaker": F.coalesce("_speaker", "speaker_norm"), "text": F.when(hit, T.strip(F.col("text"))).otherwise(F.col("_text"))}).drop("_speaker", "_text", "speaker_norm")
+    named = normalize_speakers(events, configs).withColumn("speaker", F.col("speaker_norm")).drop("speaker_norm")
+    read = named.withColumnRenamed("speaker_confidence", "_read")
+    return parse_labels(read, configs).withColumn("speaker_confidence", F.coalesce("speaker_confidence", "_read", F.lit(0.0))).drop("_read")

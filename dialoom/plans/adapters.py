@@ -26,13 +26,34 @@ def with_number(df: DataFrame) -> DataFrame:
     return df.withColumn("number", F.regexp_extract("event_id", r"(\d+)$", 1).cast("bigint"))
 
 
-def frames(spark: SparkSession, folder: str) -> DataFrame:
-    """Observations: each event is typed out in two steps, stands for seven frames and is followed by three empty ones."""
-    rows = with_number(events(spark, folder)).select("video_id", "number", "confidence", "text", F.explode(F.sequence(F.lit(0), F.lit(11))).alias("i"))
-    n = F.char_length("text")
-    shown = (F.when(F.col("i") == 0, F.left("text", F.floor(n * 3 / 10).cast("int"))).when(F.col("i") == 1, F.left("text", F.floor(n * 6 / 10).cast("int")))
-             .when(F.col("i") <= 8, F.col("text")).otherwise(""))
-    return rows.select("video_id", "number", (F.col("number") * 6.0 + F.col("i") * 0.5).alias("ts"), shown.alias("text"), "confidence")
+#: What a frame shows of an event: i counts the frames, n the characters of the text. Lines are typed out in steps or come at
+#: once, flicker, linger, give way to the next one, or are followed by one to four empty frames. Null: no such frame.
+SHOWN = """case "number" % 6
+    when 0 then case when i = 0 then left("text", cast(floor(n * 3 / 10) as int)) when i = 1 then left("text", cast(floor(n * 6 / 10) as int))
+                     when i <= 8 then "text" when i <= 11 then '' end
+    when 1 then case when i <= 3 then "text" end
+    when 2 then case when i <= 8 then "text" when i <= 10 then '' end
+    when 3 then case when i = 0 then left("text", cast(floor(n * 2 / 10) as int)) when i = 1 then left("text", cast(floor(n * 5 / 10) as int))
+                     when i = 2 then left("text", cast(floor(n * 8 / 10) as int)) when i <= 5 then "text" when i = 6 then '' end
+    when 4 then case when i <= 1 then "text" when i = 2 then '' when i <= 5 then "text" when i <= 9 then '' end
+    else case when i <= 11 then "text" end end"""
+#: The same for lines whose segmentation SQL can follow: four fifths are typed, then the whole line stands until it is stable.
+SHOWN_PLAINLY = """case when i = 0 then left("text", cast(floor(n * 8 / 10) as int)) when i <= 8 then "text" else '' end"""
+
+
+def frames(spark: SparkSession, folder: str, shown: str = SHOWN) -> DataFrame:
+    """Observations of every event, up to twelve frames each, with what stands in the name box and the candidates.
+
+    The box is blank on the first frame of some events, and never read for sure on others.
+    """
+    rows = with_number(events(spark, folder)).select(
+        "video_id", "number", "confidence", "text", "speaker", F.char_length("text").alias("n"), F.explode(F.sequence(F.lit(0), F.lit(11))).alias("i"))
+    text = F.expr(shown.replace('"', "`"))
+    name = F.when((F.col("number") % 3 != 0) | (F.col("i") > 0), F.col("speaker"))
+    candidate = F.struct(F.format_string("frame %d", F.col("i")).alias("engine"), text.alias("text"), F.col("confidence"))
+    return rows.select(
+        "video_id", "number", (F.col("number") * 6.0 + F.col("i") * 0.5).alias("ts"), text.alias("text"), "confidence", name.alias("name"),
+        F.when(F.col("number") % 3 == 1, 0.4).otherwise(0.9).alias("name_confidence"), F.array(candidate).alias("candidates")).filter("text is not null")
 
 
 def fragments(spark: SparkSession, folder: str) -> DataFrame:
@@ -51,11 +72,18 @@ def gold(spark: SparkSession, folder: str) -> DataFrame:
     return accepted.join(times, ["video_id", "event_id"]).select("video_id", F.col("event_id").alias("gold_id"), "start_ms", "end_ms", "text")
 
 
+#: The pages: well-formed markup with entities around the whole text, whose own signs are escaped. Lists, tables, headings and empty
+#: elements stand in turn; a script holds what looks like an end tag.
+PAGE_HEAD = """<html><head><title>{title}</title><style>p > b {{ color: red }}</style></head><body><h2>{title} &amp; more</h2><script>var a = "</p>";</script>"""
+PAGE_TAIL = """<ul><li>first</li><li>second &lt;2&gt;</li></ul><table><tr><td>a</td></tr></table><p/><br/>end&nbsp;of page<br></body></html>"""
+
+
 def pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as HTML pages."""
-    plain = F.translate("text", "<>&", "   ")
-    html = F.concat(F.lit("<div><h2>"), F.coalesce("source", F.lit("")), F.lit('</h2><script>var a = "</p>";</script><p>'), plain, F.lit("</p><br>end</div>"))
-    return table(spark, folder, "documents").filter("text is not null").select("doc_id", html.alias("html"))
+    """Documents as HTML pages; every blank line of a text ends a paragraph."""
+    safe = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    body = F.concat(F.lit("<p>"), F.replace(safe, F.lit("\n\n"), F.lit("</p><p>")), F.lit("</p>"))
+    head = F.replace(F.lit(PAGE_HEAD.format(title="@")), F.lit("@"), F.coalesce("source", F.lit("")))
+    return table(spark, folder, "documents").filter("text is not null").select("doc_id", F.concat(head, body, F.lit(PAGE_TAIL)).alias("html"))
 
 
 def signal(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 from dialoom.functions.text import CONTENT, OBJECTIONS, PUNCTUATION_ONLY, WHITE
+from dialoom.operators.persona import UNSPACED
+from dialoom.sources.books import INLINE_SPACE, LINE_END
+
+from .adapters import PAGE_HEAD, PAGE_TAIL, SHOWN
 
 _EV = """ev as (
     select video_id, event_id, min(start_ms) start_ms, max(end_ms) end_ms, max(speaker) speaker, max("text") "text",
@@ -10,11 +14,10 @@ _EV = """ev as (
     from dialogue_events group by all)"""
 _WORK = _EV + """, ew as (select ev.*, r.work_id, r.kind, r.status from ev join video_runs r using (video_id))"""
 _NUM = _EV + r""", num as (select *, cast(regexp_extract(event_id, '(\d+)$', 1) as bigint) "number" from ev)"""
-_FRAMES = _NUM + """, frames as (
-    select video_id, "number", "number" * 6.0::double + i * 0.5::double ts, confidence,
-           case when i = 0 then left("text", cast(length("text") * 3 // 10 as int)) when i = 1 then left("text", cast(length("text") * 6 // 10 as int))
-                when i <= 8 then "text" else '' end "text"
-    from num, (select unnest(range(12)) i))"""
+_FRAMES = _NUM + f""", frames as (
+    select video_id, "number", "number" * 6.0::double + i * 0.5::double ts, confidence, {SHOWN} "text"
+    from (select *, length("text") n from num), (select unnest(range(12)) i))
+, seen as (select * from frames where "text" is not null)"""
 _FRAGMENTS = _NUM + """, fr as (
     select video_id, event_id, start_ms, end_ms, speaker, "text" from num
     union all
@@ -41,6 +44,29 @@ _PIXEL = lambda name: f"""cast(floor({name}.x * 1280 - 200) as int) x, cast(floo
 _SIG = """sig as (select user_id "key", epoch_us(ts) / 1000000 ts, "value", event_id from events)"""
 _FIRST = _EV + """, f as (select video_id, start_ms / 1000 ts, min(event_id) event_id from ev group by all)"""
 
+#: Aliases with their canonical name (the last one listed has it), special names, and all known names of each work.
+_NAMES = """al as (select work_id, alias, arg_max(canonical, k) canonical from (
+        select work_id, k, map_keys(speaker_aliases)[k] canonical, unnest(map_values(speaker_aliases)[k]) alias from (select *, unnest(range(1, len(map_keys(speaker_aliases)) + 1)) k from work_configs))
+        where alias is not null group by all),
+    sp as (select work_id, k alias, max(special_speakers[k]) special from (select *, unnest(map_keys(special_speakers)) k from work_configs) group by all having max(special_speakers[k]) is not null),
+    known as (select work_id, unnest(map_keys(speaker_aliases)) n from work_configs union select work_id, alias from al union select work_id, unnest(map_keys(special_speakers)) from work_configs)"""
+#: Rows (work_id, speaker, text) with the name at the beginning of a text without a speaker: hit, its meaning, the rest of the text.
+_LABELLED = lambda rows: f"""select y.*, k.n is not null and y.label is not null hit, coalesce(sp.special, al.canonical, y.label) meant from (
+        select *, case when speaker is null and instr(whole, ' ') > 0 and rest <> '' then {_STRIP("split_part(whole, ' ', 1)")} end label from (
+            select *, {_STRIP("substr(whole, instr(whole, ' ') + 1)")} rest from (select *, {_STRIP('"text"')} whole from {rows}))) y
+        left join known k on k.work_id = y.work_id and k.n = y.label left join sp on sp.work_id = y.work_id and sp.alias = y.label left join al on al.work_id = y.work_id and al.alias = y.label"""
+#: Words, each character of a script without blanks one of its own; what stands between two of them in a phrase.
+_TOKENS = lambda x: f"""list_filter(string_split_regex(regexp_replace(regexp_replace({x}, '[^\\p{{L}}\\p{{N}}''{UNSPACED} ]+', ' ', 'g'), '([{UNSPACED}])', ' \\1 ', 'g'), ' +'), lambda t: t <> '')"""
+_GAP = lambda a, b: f"""case when regexp_full_match({a}, '[{UNSPACED}]') and regexp_full_match({b}, '[{UNSPACED}]') then '' else ' ' end"""
+_SQL = lambda text: "'" + text.replace("'", "''") + "'"
+_PAGES = f"""with p as (select doc_id, replace({_SQL(PAGE_HEAD.format(title='@'))}, '@', coalesce(source, '')) || '<p>'
+        || replace(replace(replace(replace("text", '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(10) || chr(10), '</p><p>') || '</p>' || {_SQL(PAGE_TAIL)} h from documents where "text" is not null),
+    a as (select doc_id, regexp_replace(regexp_replace(h, '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'g'), '(?i)<(?:p|div|h[1-6])\\b[^<>]*/>', chr(10) || chr(10), 'g') h from p),
+    b as (select doc_id, regexp_replace(regexp_replace(h, '(?i)<(?:p|div|br|h[1-6]|li|tr)\\b[^<>]*>', chr(10), 'g'), '(?i)</(?:p|div|h[1-6])\\s*>', chr(10), 'g') h from a),
+    c as (select doc_id, replace(replace(replace(replace(regexp_replace(h, '<[^<>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&amp;', '&') h from b),
+    d as (select doc_id, regexp_replace(regexp_replace(h, '{LINE_END}', chr(10), 'g'), '{INLINE_SPACE}*\n{INLINE_SPACE}*', chr(10), 'g') h from c)
+    select doc_id, {_STRIP("regexp_replace(h, '\\n{4,}', chr(10) || chr(10) || chr(10), 'g')")} "text" from d"""
+
 ORACLE_SQL: dict[str, str] = {
     "transcript_clean": f"with {_EV} select video_id, event_id, {_LINE} line from ev where not coalesce(review_required, false)",
     "transcript_review": f"with {_EV} select video_id, event_id, {_LINE} line from ev",
@@ -79,20 +105,34 @@ ORACLE_SQL: dict[str, str] = {
              when tried then printf('primary:%s(fallback tried, primary kept)', p.engine) else printf('primary:%s', p.engine) end reason from z""",
     "engine_line_combine": """with x as (select distinct video_id, event_id, i, ocr_candidates[i]."text" t, ocr_candidates[i].confidence c from (select *, unnest(range(1, len(ocr_candidates) + 1)) i from dialogue_events))
         select video_id, event_id, string_agg(coalesce(t, ''), ' ' order by i, coalesce(t, '')) "text", round(avg(c), 6) confidence from x group by all""",
-    "speaker_normalize": f"""with {_WORK}, al as (select work_id, alias, max(canonical) canonical from (
-            select work_id, k canonical, unnest(list_append(coalesce(speaker_aliases[k], []), k)) alias from (select *, unnest(map_keys(speaker_aliases)) k from work_configs)) where alias is not null group by all),
-        sp as (select work_id, k alias, max(special_speakers[k]) special from (select *, unnest(map_keys(special_speakers)) k from work_configs) group by all)
+    "speaker_normalize": f"""with {_WORK}, {_NAMES}
         select video_id, event_id, speaker, coalesce(special, canonical, speaker) speaker_norm from ew left join sp on sp.work_id = ew.work_id and sp.alias = ew.speaker
         left join al on al.work_id = ew.work_id and al.alias = ew.speaker""",
-    "known_speakers": """select work_id, unnest(map_keys(speaker_aliases)) speaker from work_configs union select work_id, unnest(map_values(special_speakers)) from work_configs""",
+    "known_speakers": f"with {_NAMES} select work_id, n speaker from known",
     "speaker_inherit": f"""with {_EV}, g as (select *, last_value(case when trim(speaker) <> '' and confidence >= 0.8 then {{'s': speaker, 'c': confidence}} end ignore nulls)
             over (partition by video_id order by start_ms, event_id rows between unbounded preceding and current row) v from ev)
         select video_id, event_id, v.s inherited_speaker, coalesce(v.c, 0.0::double) inherited_confidence from g""",
-    "speaker_from_text": f"""with {_WORK}, k as (select work_id, unnest(map_keys(speaker_aliases)) n from work_configs union select work_id, unnest(map_values(special_speakers)) from work_configs),
-        x as (select work_id, video_id, event_id, speaker || ' ' || "text" t, confidence from ew where speaker is not null and instr(speaker, ' ') = 0),
-        y as (select x.*, k.n is not null and trim(substr(t, instr(t, ' ') + 1)) <> '' and instr(t, ' ') > 1 hit from x left join k on k.work_id = x.work_id and k.n = split_part(t, ' ', 1))
-        select video_id, event_id, case when hit then split_part(t, ' ', 1) end speaker, case when hit then substr(t, instr(t, ' ') + 1) else t end "text", confidence,
-        case when hit then confidence end speaker_confidence from y""",
+    "speaker_from_text": f"""with {_EV}, {_NAMES}, paths as (select video_id, event_id, speaker, "text", confidence from ev union all
+            select video_id, event_id, max(speaker), max("text"), max(confidence) from spoken_events group by all), x as (select paths.*, r.work_id from paths join video_runs r using (video_id))
+        select video_id, event_id, case when hit then meant else speaker end speaker, case when hit then rest else "text" end "text", confidence, case when hit then confidence end speaker_confidence
+        from ({_LABELLED('x')})""",
+    "event_attribution": f"""with {_NUM}, {_NAMES}, p as (select num.*, {_STRIP('"text"')} t, {_STRIP("""left("text", cast(floor(length("text") * 8 / 10) as int))""")} typed from num),
+        q as (select *, case when length(typed) >= 2 then 0 else 1 end i0, case when length(typed) >= 2 then 8 else 4 end i1, row_number() over (partition by video_id order by "number") k,
+              {_STRIP('speaker')} name from p where length(t) >= 2),
+        g as (select *, case when name <> '' and ("number" % 3 = 2 or "number" % 3 = 0 and i0 = 1) then name end g0, case when name <> '' and "number" % 3 <> 1 then name end g1 from q),
+        h as (select *, count(g1) over (partition by video_id order by k) m from g),
+        u as (select *, case when g1 is not null and m = 1 then g1 when m > 0 then g0 end read from h),
+        v as (select *, last_value(read ignore nulls) over (partition by video_id order by k rows between unbounded preceding and current row) raw from u),
+        w as (select v.video_id, printf('event_%06d', k) event_id, cast(("number" * 6.0 + i0 * 0.5) * 1000 as bigint) start_ms, cast(("number" * 6.0 + i1 * 0.5) * 1000 as bigint) end_ms,
+              v.raw, t "text", round(confidence, 6) confidence, printf('frame %d', i1 - 1) shown_on, r.work_id from v join video_runs r using (video_id)),
+        x as (select w.*, coalesce(sp.special, al.canonical, raw) speaker from w left join sp on sp.work_id = w.work_id and sp.alias = raw left join al on al.work_id = w.work_id and al.alias = raw)
+        select video_id, event_id, start_ms, end_ms, case when hit then meant else speaker end speaker, case when hit then rest else "text" end "text", confidence,
+        case when hit then confidence when speaker is not null then 0.9::double else 0.0::double end speaker_confidence, shown_on from ({_LABELLED('x')})""",
+    "profile_steps": """with w as (select distinct work_id, unnest([dialog_preprocess, name_preprocess]) name from work_configs),
+        s as (select * from (values ('default', 0, 'upscale'), ('semi_transparent', 0, 'upscale'), ('semi_transparent', 1, 'contrast'), ('semi_transparent', 2, 'sharpen'), ('semi_transparent', 3, 'binarize'),
+            ('outline_heavy', 0, 'upscale'), ('outline_heavy', 1, 'contrast'), ('outline_heavy', 2, 'sharpen'), ('small_font', 0, 'upscale'), ('small_font', 1, 'sharpen'), ('small_font', 2, 'denoise'),
+            ('dark_bg', 0, 'upscale'), ('dark_bg', 1, 'contrast'), ('dark_bg', 2, 'binarize'), ('dark_bg', 3, 'invert')) t(name, "position", step))
+        select work_id, name, "position", step from w left join s using (name)""",
     "prefix_merge": f"""with {_FRAGMENTS}, a as (select *, lead(start_ms) over w ns, lead(speaker) over w nsp, lead("text") over w nt, lead(event_id) over w ne, lag(event_id) over w pe,
             row_number() over w rn, count(*) over (partition by video_id) n from fr window w as (partition by video_id order by start_ms, event_id)),
         b as (select *, coalesce(ne is not null and ns - end_ms < 5000 and speaker is not distinct from nsp and length("text") >= 2 and length("text") < length(nt)
@@ -102,13 +142,13 @@ ORACLE_SQL: dict[str, str] = {
         e as (select *, lag(goes) over w came, lag(start_ms) over w ps from d window w as (partition by video_id order by rn))
         select video_id, event_id, case when came then ps else start_ms end start_ms, end_ms, "text", case when came then pe end merged_from from e
         where not goes and not (coalesce({_HUD(_STRIP('"text"'))}, false) and n > 1)""",
-    "candidate_merge": f"""with {_FRAMES}, p as (select video_id, "number", "text", count(*) n_seen, sum(confidence) total, min(ts) f from frames where "text" <> '' group by all)
+    "candidate_merge": f"""with {_FRAMES}, p as (select video_id, "number", "text", count(*) n_seen, sum(confidence) total, min(ts) f from seen where "text" <> '' group by all)
         select video_id, "number", "text", round(total / n_seen, 6) confidence, n_seen from p
         qualify row_number() over (partition by video_id, "number" order by length("text") desc, n_seen desc, round(total, 9) desc, f) = 1""",
-    "longest_so_far": f"""with {_FRAMES}, x as (select *, max(length("text")) over (partition by video_id order by ts, "text" rows unbounded preceding) n from frames)
+    "longest_so_far": f"""with {_FRAMES}, x as (select *, max(length("text")) over (partition by video_id order by ts, "text" rows unbounded preceding) n from seen)
         select video_id, ts, "text", arg_max("text", {{'n': length("text"), 't': -ts}}) over (partition by video_id order by ts, "text" rows unbounded preceding) longest from x""",
     "frame_sample_asof": f"""with {_FIRST}, g as (select video_id, unnest(generate_series(0, cast(max(ts) // 5 as bigint) + 1)) * 5.0::double grid_ts from f group by video_id)
-        select g.video_id, g.grid_ts, f.ts frame_ts, f.event_id from (select *, grid_ts - 0.1::double low from g) g asof join f on f.video_id = g.video_id and g.low <= f.ts where f.ts <= g.grid_ts + 2.0::double""",
+        select g.video_id, g.grid_ts, f.ts frame_ts, f.event_id from (select *, grid_ts - 0.1::double low from g) g asof join f on f.video_id = g.video_id and g.low <= f.ts""",
     "frame_at": f"""with {_FIRST}, q as (select distinct video_id, unnest([30.0::double, 120.0::double, 600.0::double]) "at" from video_runs)
         select q.video_id, q."at", f.ts frame_ts, f.event_id from q asof left join f on f.video_id = q.video_id and q."at" <= f.ts""",
     "change_detect": f"""with {_SIG}, x as (select *, lag("value") over (partition by "key" order by ts, event_id) p, row_number() over (partition by "key" order by ts, event_id) rn from sig)
@@ -128,7 +168,7 @@ ORACLE_SQL: dict[str, str] = {
     "batch_summary": """select work_id, count(*) total_videos, count(*) filter (status = 'ok') succeeded, count(*) filter (status = 'error') failed, cast(sum(total_events) as bigint) total_events from video_runs group by all""",
     "batch_records": """select video_id, status, total_events, review_count, null::varchar error from video_runs where status = 'ok' union all
         select video_id, status, null, null, error from video_runs where status = 'error'""",
-    "jsonl_tail": f"with {_EV} select video_id, max(event_id) last_event_id, count(*) event_count from ev group by all",
+    "jsonl_tail": f"with {_NUM} select video_id, arg_max(event_id, \"number\") last_event_id, count(*) event_count from num group by all",
     "resume_cut": f"""with {_EV} select ev.video_id, ev.event_id from ev left join (select video_id, floor(duration_processed * 500) done from video_runs where duration_processed is not null) r using (video_id)
         where done is null or start_ms > done""",
     "spine_order": """with d as (select * from documents where work_id is not null)
@@ -136,11 +176,8 @@ ORACLE_SQL: dict[str, str] = {
     "chapter_concat": """with x as (select work_id, string_agg("text", chr(10) || chr(10) || '---' || chr(10) || chr(10) order by doc_id, "text") t from documents
             where source = 'novel_chapter' and work_id is not null and "text" is not null group by all)
         select work_id, length(t) n_chars, md5(t) digest from x""",
-    "html_to_text_sql": r"""with p as (select doc_id, '<div><h2>' || coalesce(source, '') || '</h2><script>var a = "</p>";</script><p>' || translate("text", '<>&', '   ') || '</p><br>end</div>' h from documents where "text" is not null),
-        a as (select doc_id, regexp_replace(h, '(?is)<script\b.*?</script\s*>', '', 'g') h from p),
-        b as (select doc_id, regexp_replace(regexp_replace(h, '(?i)<(?:p|div|br|h[1-6]|li|tr)\b[^<>]*>', chr(10), 'g'), '(?i)</(?:p|div|h[1-6])\s*>', chr(10), 'g') h from a),
-        c as (select doc_id, regexp_replace(regexp_replace(regexp_replace(h, '<[^<>]*>', '', 'g'), '[ \t\r]*\n[ \t\r]*', chr(10), 'g'), '\n{4,}', chr(10) || chr(10) || chr(10), 'g') h from b)
-        select doc_id, regexp_replace(h, '^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$', '', 'g') "text" from c""",
+    "html_to_text": _PAGES,
+    "html_to_text_sql": _PAGES,
     "roi_box": """select work_id, cast(trunc(dialog_box.x * 1920) as int) "left", cast(trunc(dialog_box.y * 1080) as int) top, cast(trunc((dialog_box.x + dialog_box.w) * 1920) as int) "right",
         cast(trunc((dialog_box.y + dialog_box.h) * 1080) as int) bottom from work_configs""",
     "roi_validate": "select work_id, " + ", ".join(f"""case when {b} is null or {b}.x is null or {b}.y is null or {b}.w is null or {b}.h is null then 'missing'
@@ -159,14 +196,14 @@ ORACLE_SQL: dict[str, str] = {
         union all select 'own_' || dialog_preprocess, max(target_fps), false, false, false, 128, 1.0, false from work_configs group by dialog_preprocess""",
     "tag_rules": """select work_id, tag, rule from (select work_id, unnest([dialog_preprocess, ocr_engine]) tag from work_configs)
         left join (values ('easyocr', 'slow'), ('paddleocr', 'fast'), ('outline_heavy', 'sharpen first')) r(tag, rule) using (tag)""",
-    "catchphrase_ngrams": f"""with {_EV}, w as (select speaker, list_filter(string_split_regex(lower(regexp_replace("text", '[^\\p{{L}}\\p{{N}}'' ]+', ' ', 'g')), ' +'), lambda x: x <> '') w from ev where speaker is not null),
-        g as (select speaker, unnest(list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) phrase from w where len(w) >= 3)
+    "catchphrase_ngrams": f"""with {_EV}, w as (select speaker, {_TOKENS('lower("text")')} w from ev where speaker is not null),
+        g as (select speaker, unnest(list_transform(range(1, len(w) - 1), lambda k: w[k] || {_GAP('w[k]', 'w[k + 1]')} || w[k + 1] || {_GAP('w[k + 1]', 'w[k + 2]')} || w[k + 2])) phrase from w where len(w) >= 3)
         select speaker, phrase, count(*) n from g group by all having count(*) >= 3""",
     "particle_counts": f"""with {_EV} select speaker, token, count(*) n from (select speaker, unnest(regexp_extract_all("text", '嗯|呐|呢|吗|哦|啊|嘛|呀|吧|ね|よ|わ')) token from ev where speaker is not null) group by all""",
-    "address_forms": f"""with {_WORK}, w as (select work_id, speaker, string_split_regex(regexp_replace("text", '[^\\p{{L}}\\p{{N}}'' ]+', ' ', 'g'), ' +') w from ew where speaker is not null),
-        p as (select work_id, speaker, unnest(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) name from w),
-        n as (select work_id, unnest(map_keys(speaker_aliases)) name from work_configs)
-        select speaker, name, count(*) n from p join (select distinct * from n) n using (work_id, name) group by all""",
+    "address_forms": f"""with {_WORK}, w as (select work_id, speaker, {_TOKENS('"text"')} w from ew where speaker is not null),
+        n as (select distinct work_id, name, {_TOKENS('name')} p from (select work_id, unnest(map_keys(speaker_aliases)) name from work_configs)),
+        c as (select speaker, name, len(list_filter(range(1, len(w) - len(p) + 2), lambda k: w[k:k + len(p) - 1] = p)) c from w join n using (work_id) where len(p) > 0)
+        select speaker, name, cast(sum(c) as bigint) n from c where c > 0 group by all""",
     "info_routing": f"""with {_NUM}, k as (select video_id, event_id, ['world', 'style', 'both', 'plot', 'unknown']["number" % 5 + 1] kind from num)
         select video_id, event_id, kind, target from k join (values ('world', 'story'), ('ability', 'story'), ('plot', 'story'), ('relationship', 'story'), ('knowledge', 'story'), ('style', 'persona'),
         ('expression', 'persona'), ('emotion', 'persona'), ('behaviour', 'persona'), ('personality', 'persona'), ('both', 'story'), ('both', 'persona')) r(kind, target) using (kind)""",
@@ -180,8 +217,10 @@ ORACLE_SQL: dict[str, str] = {
     "event_numbering": f"""with {_EV} select video_id, printf('event_%06d', row_number() over (partition by video_id order by start_ms, end_ms, "text")) event_id, "text", confidence from ev""",
     "eval_interval_match": f"with {_GOLD} select video_id, gold_id, event_id, case when event_id is not null then overlap_ms end overlap_ms from m where rn = 1",
     "eval_recall": f"with {_GOLD} select count(*) n_gold, count(event_id) n_recalled, round(count(event_id) / count(*), 6) recall from m where rn = 1",
-    "eval_cer": f"""with {_GOLD} select video_id, count(*) n_matched, round(avg(levenshtein("text", gold_text) / length(gold_text)), 6) mean_cer from m
-        where rn = 1 and event_id is not null and gold_text <> '' and length("text") = strlen("text") and length(gold_text) = strlen(gold_text) group by all""",
+    # levenshtein counts bytes: the characters of each pair of texts are written as bytes first
+    "eval_cer": f"""with {_GOLD}, c as (select *, list_distinct(string_split(coalesce("text", '') || gold_text, '')) chars from m where rn = 1 and event_id is not null and gold_text <> ''),
+        d as (select *, array_to_string(chars, '') seen, array_to_string(list_transform(range(1, len(chars) + 1), lambda k: chr(cast(k as int))), '') bytes from c)
+        select video_id, count(*) n_matched, round(avg(levenshtein(translate(coalesce("text", ''), seen, bytes), translate(gold_text, seen, bytes)) / length(gold_text)), 6) mean_cer from d group by all""",
     "eval_duplicate_rate": f"""with {_EV}, x as (select {_STRIP(_ASCII('"text"'))} t, lag({_STRIP(_ASCII('"text"'))}) over (partition by video_id, coalesce(speaker, '') order by start_ms, event_id) p from ev)
         select count(*) n_events, count(*) filter (t = p) n_duplicates, round(count(*) filter (t = p) / count(*), 6) duplicate_rate from x""",
     "eval_review_rate": f"with {_EV} select video_id, count(*) n_events, count(*) filter (review_required) n_review, round(count(*) filter (review_required) / count(*), 6) review_rate from ev group by all",

@@ -111,16 +111,11 @@ def speaker_inherit(spark, folder):
 
 @query
 def speaker_from_text(spark, folder):
-    rows = A.events_with_work(spark, folder).filter("speaker is not null and instr(speaker, ' ') = 0")
-    labelled = rows.select("work_id", "video_id", "event_id", F.lit(None).cast("string").alias("speaker"), F.concat("speaker", F.lit(" "), "text").alias("text"), "confidence")
-    return speaker.parse_labels(labelled, speaker.known_speakers(A.table(spark, folder, "work_configs"))).drop("work_id")
-
-
-@query
-def speaker_from_text_all(spark, folder):
-    """The whole of speaker_from_text: every event with its own speaker and text."""
-    rows = A.events_with_work(spark, folder).select("work_id", "video_id", "event_id", "speaker", "text", "confidence")
-    return speaker.label_events(rows, A.table(spark, folder, "work_configs")).drop("work_id")
+    """Every event of both paths with its own speaker and text."""
+    columns = ["video_id", "event_id", "speaker", "text", "confidence"]
+    both = A.events(spark, folder).select(*columns).unionByName(E.distinct_events(A.table(spark, folder, "spoken_events")).select(*columns))
+    works = A.table(spark, folder, "video_runs").select("video_id", "work_id")
+    return speaker.parse_labels(both.join(works, "video_id"), A.table(spark, folder, "work_configs")).drop("work_id")
 
 
 @query
@@ -154,6 +149,26 @@ def event_segment(spark, folder):
     return segment.segment(A.frames(spark, folder))
 
 
+@query
+def event_attribution(spark, folder):
+    """From frames to events with normalised speakers and the candidates of the text."""
+    found = segment.segment_with_speakers(A.frames(spark, folder, A.SHOWN_PLAINLY))
+    return _attributed(spark, folder, found)
+
+
+@query
+def event_attribution_all(spark, folder):
+    """The same over frames of every kind."""
+    return _attributed(spark, folder, segment.segment_with_speakers(A.frames(spark, folder)))
+
+
+def _attributed(spark, folder, found):
+    configs = A.table(spark, folder, "work_configs")
+    works = A.table(spark, folder, "video_runs").select("video_id", "work_id")
+    named = speaker.attribute_events(found.join(works, "video_id"), configs)
+    return named.select("video_id", "event_id", "start_ms", "end_ms", "speaker", "text", "confidence", "speaker_confidence", F.col("candidates")[0]["engine"].alias("shown_on"))
+
+
 @query
 def frame_sample_asof(spark, folder):
     frames = A.events(spark, folder).groupBy("video_id", (F.col("start_ms") / 1000).alias("ts")).agg(F.min("event_id").alias("event_id"))
@@ -296,7 +311,9 @@ def profile_override(spark, folder):
 
 @query
 def profile_steps(spark, folder):
-    return regions.steps(regions.builtin_profiles(spark))
+    """The steps that the profiles of each work stand for."""
+    used = A.table(spark, folder, "work_configs").select("work_id", F.explode(F.array("dialog_preprocess", "name_preprocess")).alias("name")).distinct()
+    return used.join(regions.steps(regions.builtin_profiles(spark)), "name", "left")
 
 
 @query
@@ -311,12 +328,6 @@ def catchphrase_ngrams(spark, folder):
     return persona.phrases(A.events(spark, folder))
 
 
-@query
-def catchphrase_ngrams_all(spark, folder):
-    """The whole of catchphrase_ngrams: Chinese and Japanese clauses are cut into characters."""
-    return persona.phrases(A.events(spark, folder), characters=True)
-
-
 @query
 def particle_counts(spark, folder):
     return persona.token_counts(A.events(spark, folder))
@@ -324,13 +335,6 @@ def particle_counts(spark, folder):
 
 @query
 def address_forms(spark, folder):
-    names = A.table(spark, folder, "work_configs").select("work_id", F.explode(F.map_keys("speaker_aliases")).alias("name"))
-    return persona.address_forms(A.events_with_work(spark, folder), names)
-
-
-@query
-def address_forms_all(spark, folder):
-    """The whole of address_forms: names of any number of words and in any script."""
     names = A.table(spark, folder, "work_configs").select("work_id", F.explode(F.map_keys("speaker_aliases")).alias("name"))
     return persona.mentions(A.events_with_work(spark, folder), names)
 
@@ -383,14 +387,6 @@ def eval_recall(spark, folder):
 
 @query
 def eval_cer(spark, folder):
-    matches = evaluate.match_intervals(A.events(spark, folder), A.gold(spark, folder))
-    plain = matches.filter(r"text rlike '^[\\x00-\\x7f]*$' and gold_text rlike '^[\\x00-\\x7f]*$'")
-    return evaluate.character_error_rate(plain, ["video_id"])
-
-
-@query
-def eval_cer_all(spark, folder):
-    """The whole of eval_cer: texts in every script. DuckDB's levenshtein counts bytes, so there is no SQL for it."""
     return evaluate.character_error_rate(evaluate.match_intervals(A.events(spark, folder), A.gold(spark, folder)), ["video_id"])
 
 

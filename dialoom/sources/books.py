@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from dialoom.functions import text as T
+
 # Elements before and after which a line ends, and those whose content is no text.
 BREAK_BEFORE = frozenset("p div br h1 h2 h3 h4 h5 h6 li tr".split())
 BREAK_AFTER = frozenset("p div h1 h2 h3 h4 h5 h6".split())
@@ -36,6 +38,8 @@ class _Reader(HTMLParser):
     def handle_startendtag(self, tag: str, attrs) -> None:
         if tag in BREAK_BEFORE:
             self.parts.append("\n")
+        if tag in BREAK_AFTER:  # an empty element both begins and ends
+            self.parts.append("\n")
 
     def handle_endtag(self, tag: str) -> None:
         if tag in SILENT:
@@ -57,7 +61,7 @@ def text_of_html(html: str | None) -> str | None:
     reader.feed(html)
     out: list[str] = []
     blank = 0
-    for line in (x.strip() for x in "".join(reader.parts).split("\n")):
+    for line in (x.strip() for x in "".join(reader.parts).splitlines()):
         blank = 0 if line else blank + 1
         if blank <= 2:
             out.append(line)
@@ -68,13 +72,23 @@ def html_to_text(html: Column) -> Column:
     return F.pandas_udf(lambda s: s.map(text_of_html), StringType())(html)
 
 
+#: Entities that `html_to_text_sql` knows, the sign of entities itself last.
+_ENTITIES = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("nbsp", "\u00a0"), ("amp", "&"))
+#: What ends a line besides a line feed, and white space that does not.
+LINE_END = r"\r\n|[\r\x{b}\x{c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
+INLINE_SPACE = r"[\x{9}\x{1f}\x{20}\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"
+
+
 def html_to_text_sql(html: Column) -> Column:
-    """The same for well-formed pages without entities, as regular expressions that stay in the JVM."""
+    """The same for well-formed pages with the common named entities, as regular expressions that stay in the JVM."""
     quiet = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>", "")
-    broken = F.regexp_replace(F.regexp_replace(quiet, r"(?i)<(?:p|div|br|h[1-6]|li|tr)\b[^<>]*>", "\n"), r"(?i)</(?:p|div|h[1-6])\s*>", "\n")
+    empty = F.regexp_replace(quiet, r"(?i)<(?:p|div|h[1-6])\b[^<>]*/>", "\n\n")
+    broken = F.regexp_replace(F.regexp_replace(empty, r"(?i)<(?:p|div|br|h[1-6]|li|tr)\b[^<>]*>", "\n"), r"(?i)</(?:p|div|h[1-6])\s*>", "\n")
     plain = F.regexp_replace(broken, r"<[^<>]*>", "")
-    lines = F.regexp_replace(F.regexp_replace(plain, r"[ \t\r]*\n[ \t\r]*", "\n"), r"\n{4,}", "\n\n\n")
-    return F.regexp_replace(lines, r"^\s+|\s+$", "")
+    for name, sign in _ENTITIES:
+        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(sign))
+    lines = F.regexp_replace(F.regexp_replace(plain, LINE_END, "\n"), f"{INLINE_SPACE}*\n{INLINE_SPACE}*", "\n")
+    return T.strip(F.regexp_replace(lines, r"\n{4,}", "\n\n\n"))
 
 
 def _local(tag: str) -> str:

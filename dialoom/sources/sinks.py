@@ -16,24 +16,30 @@ def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def replace_events(events: DataFrame, path: str) -> None:
-    """Writes beside the folder, then swaps: Spark cannot overwrite what it still reads. A lost job leaves the old folder whole."""
+    """Writes beside the folder, then swaps: Spark cannot overwrite what it still reads.
+
+    A lost job leaves the old folder whole; so does a swap that fails, which raises OSError. The old rows
+    are deleted only when the new ones stand in their place.
+    """
     spark = events.sparkSession
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     fresh, old = f"{path}.{uuid.uuid4().hex}", f"{path}.{uuid.uuid4().hex}"
     events.write.mode("errorifexists").json(fresh)
     fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
     had = fs.exists(hadoop(path))
-    if had:
-        fs.rename(hadoop(path), hadoop(old))
-    fs.rename(hadoop(fresh), hadoop(path))
-    if had:
-        fs.delete(hadoop(old), True)
+    if had and not fs.rename(hadoop(path), hadoop(old)):
+        raise OSError(f"{path} could not be put aside; the new events are in {fresh}")
+    if not fs.rename(hadoop(fresh), hadoop(path)):
+        restored = not had or fs.rename(hadoop(old), hadoop(path))
+        raise OSError(f"the new events could not be put in place and are in {fresh}" + ("" if restored else f"; the old ones are in {old}"))
+    if had and not fs.delete(hadoop(old), True):
+        raise OSError(f"the old events could not be deleted from {old}")
 
 
 def write_transcripts(events: DataFrame, path: str) -> None:
     """Folders clean and review under `path`, partitioned by video, lines in time order with a blank one after each."""
     for name, flagged in (("clean", False), ("review", True)):
-        lines = E.transcript(events, flagged).join(events.select(*E.KEY, "start_ms"), E.KEY)
+        lines = E.transcript(events, flagged, "start_ms")
         ordered = lines.repartitionByRange("video_id", "start_ms", "event_id").sortWithinPartitions("video_id", "start_ms", "event_id")
         ordered.select("video_id", F.concat("line", F.lit("\n")).alias("value")).write.mode("overwrite").partitionBy("video_id").text(f"{path}/{name}")
 
