@@ -1,9 +1,10 @@
 """Runs of consecutive events that say the same line, collapsed into one event each.
 
-Events are cut into chunks of (entity, stretch of time), so that one hot entity spreads over all
-tasks. Inside a chunk the starts of runs form a sorted array and every event finds its run by binary
-search in it; then the runs are aggregated. Only the first and last run of each chunk can reach across
-its border: those few are compared with their neighbours and joined by a window over the entity.
+Events are ranged by (entity, time, number), so that one hot entity, or one time that very many events share,
+spreads over all tasks row by row. In every task the starts of runs form a sorted array and every event finds
+its run by binary search in it; then the runs are aggregated. Only the first and last run of an entity in
+a task can reach across its border: those few are compared with their neighbours and joined by a window over
+the entity.
 """
 
 from __future__ import annotations
@@ -12,72 +13,81 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from .sameline import same_line
+from dialoom.session import cut_lineage
 
-#: Length of a chunk. A window over an entity sees two rows per chunk at most.
-CHUNK_MS = 1_800_000
-#: The same for events without a time, in event numbers.
-CHUNK_ROWS = 2_000
+from .sameline import same_line
 
-_PIECE = ("video_id string, chunk bigint, piece bigint, is_first boolean, is_last boolean, speaker string, first_event_id string, "
+_PIECE = ("video_id string, chunk int, piece bigint, is_first boolean, is_last boolean, speaker string, first_event_id string, "
           "last_event_id string, first_text string, last_text string, n bigint, start_ms bigint, end_ms bigint")
 _COLUMNS = [x.split(" ")[0] for x in _PIECE.split(", ")]
 
 
-def _same(a, b) -> bool:
-    """Same speaker (null equals null) and same line; a and b are (speaker, text)."""
-    return a[0] == b[0] and same_line(a[1], b[1])
+def _starts(video: np.ndarray, speaker: np.ndarray, text: np.ndarray, before: tuple | None) -> np.ndarray:
+    """Whether each row begins a run; before: video, speaker and text of the row before the first one."""
+    first = before if before is not None else (None, None, None)
+    own = [np.concatenate([np.array([f], dtype=object), a]) for f, a in zip(first, (video, speaker, text))]
+    fits = (own[0][1:] == own[0][:-1]) & (own[1][1:] == own[1][:-1])
+    start = ~(fits & (own[2][1:] == own[2][:-1]))
+    for k in np.flatnonzero(fits & start):  # another text of the same speaker
+        start[k] = not same_line(own[2][k], own[2][k + 1])
+    return start
 
 
 def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Runs of each chunk. Rows come sorted by (video_id, chunk, start_ms, event_id)."""
-    rest: pd.DataFrame | None = None
-
-    def emit(rows: pd.DataFrame) -> pd.DataFrame:
-        """The runs of whole chunks."""
-        rows = rows[~rows.duplicated(["video_id", "chunk", "event_id"])]
-        key = list(zip(rows["video_id"], rows["chunk"]))
-        said = list(zip(rows["speaker"], rows["text"]))
-        size = len(rows)
-        new_chunk = np.array([k == 0 or key[k] != key[k - 1] for k in range(size)])
-        start = np.array([new_chunk[k] or not _same(said[k - 1], said[k]) for k in range(size)])
-        starts = np.flatnonzero(start)  # sorted; an event belongs to the last start at or before it
-        run = np.searchsorted(starts, np.arange(size), side="right") - 1
-        ends = np.append(starts[1:], size) - 1
-        begin = rows["start_ms"].to_numpy(dtype=float)
-        end = np.fmax(begin, rows["end_ms"].to_numpy(dtype=float))
-        chunk_first = new_chunk[starts]
-        out = pd.DataFrame({
-            "video_id": rows["video_id"].to_numpy()[starts], "chunk": rows["chunk"].to_numpy()[starts],
-            "piece": starts, "is_first": chunk_first, "is_last": np.append(chunk_first[1:], True),
-            "speaker": rows["speaker"].to_numpy()[starts], "first_event_id": rows["event_id"].to_numpy()[starts],
-            "last_event_id": rows["event_id"].to_numpy()[ends], "first_text": rows["text"].to_numpy()[starts],
-            "last_text": rows["text"].to_numpy()[ends], "n": np.bincount(run, minlength=len(starts)),
-            "start_ms": pd.array(np.fmin.reduceat(begin, starts), dtype="Float64"),
-            "end_ms": pd.array(np.fmax.reduceat(end, starts), dtype="Float64")})
-        for c in ("start_ms", "end_ms"):
-            out[c] = out[c].mask(out[c].isna()).astype("Int64")
-        return out[_COLUMNS]
+    """The runs of a task's rows. Rows come sorted; a row that was delivered again follows the first one."""
+    chunk = TaskContext.get().partitionId()
+    before: tuple | None = None  # video, speaker, text and event of the last row
+    open_: list | None = None  # the run that may go on with the next batch
+    number = 0
 
     for batch in batches:
-        batch = batch.astype({"speaker": object, "text": object})
-        batch["speaker"] = batch["speaker"].where(batch["speaker"].notna(), None)
-        batch["text"] = batch["text"].where(batch["text"].notna(), None)
-        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-        if not len(rows):
+        video, event = batch["video_id"].to_numpy(dtype=object), batch["event_id"].to_numpy(dtype=object)
+        again = (video == np.concatenate([[before[0] if before else None], video[:-1]])) & (event == np.concatenate([[before[3] if before else None], event[:-1]]))
+        batch = batch[~again]
+        if not len(batch):
             continue
-        last = rows.iloc[-1]
-        open_ = ((rows["video_id"] == last["video_id"]) & (rows["chunk"] == last["chunk"])).to_numpy()
-        done = rows[~open_]
-        rest = rows[open_]
-        if len(done):
-            yield emit(done)
-    if rest is not None and len(rest):
-        yield emit(rest)
+        video, event = video[~again], event[~again]
+        speaker, text = (batch[c].astype(object).where(batch[c].notna(), None).to_numpy(dtype=object) for c in ("speaker", "text"))
+        start = _starts(video, speaker, text, before[:3] if before else None)
+        before = (video[-1], speaker[-1], text[-1], event[-1])
+        size = len(batch)
+        goes_on = open_ is not None and not start[0]
+        starts = np.flatnonzero(start) if not goes_on else np.concatenate([[0], np.flatnonzero(start)])
+        run = np.searchsorted(starts, np.arange(size), side="right") - 1  # an event belongs to the last start at or before it
+        ends = np.append(starts[1:], size) - 1
+        begin = batch["start_ms"].to_numpy(dtype=float)
+        end = np.fmax(begin, batch["end_ms"].to_numpy(dtype=float))
+        runs = [[v, chunk, 0, False, False, *rest] for v, *rest in zip(
+            video[starts], speaker[starts], event[starts], event[ends], text[starts], text[ends], np.bincount(run, minlength=len(starts)).tolist(),
+            np.fmin.reduceat(begin, starts).tolist(), np.fmax.reduceat(end, starts).tolist())]
+        if goes_on:
+            more = runs.pop(0)
+            open_[7], open_[9], open_[10] = more[7], more[9], open_[10] + more[10]
+            open_[11], open_[12] = np.fmin(open_[11], more[11]), np.fmax(open_[12], more[12])
+        out = []
+        for following in runs:
+            following[3] = open_ is None or open_[0] != following[0]
+            if open_ is not None:
+                open_[4] = following[3]
+                out.append(open_)
+            number += 1
+            open_, following[2] = following, number
+        yield _frame(out)
+    if open_ is not None:
+        open_[4] = True
+        yield _frame([open_])
+
+
+def _frame(runs: list[list]) -> pd.DataFrame:
+    out = pd.DataFrame(runs, columns=_COLUMNS)
+    for c in ("start_ms", "end_ms"):
+        out[c] = out[c].astype("Float64").mask(out[c].isna()).astype("Int64")
+    return out
 
 
 @F.pandas_udf(BooleanType())
@@ -85,24 +95,24 @@ def _joins(before: pd.Series, after: pd.Series) -> pd.Series:
     return pd.Series([a is not None and b is not None and same_line(a, b) for a, b in zip(before, after)])
 
 
-def collapse_runs(events: DataFrame, chunk_ms: int = CHUNK_MS) -> DataFrame:
+def collapse_runs(events: DataFrame, parts: int | None = None) -> DataFrame:
     """One row per run: video_id, speaker, first_event_id, last_event_id, text, n_events, start_ms, end_ms, duration_ms.
 
-    A run is a longest stretch of events of one video, consecutive by (start_ms, event_id), with the
-    same stored speaker (null equals null) that say the same line. Single events are runs of one.
-    start_ms and end_ms are the least and greatest times in the run; text is its first text. Redelivered
+    A run is a longest stretch of events of one video, consecutive by start_ms, then by the number at the end of the
+    event id, then by the id, with the same stored speaker (null equals null) that say the same line. Single events are
+    runs of one. start_ms and end_ms are the least and greatest times in the run; text is its first text. Redelivered
     rows (same video_id and event_id at the same time) count once. Events without start_ms follow after
-    all others by event_id; null texts are equal to each other; events without video_id or event_id
-    are dropped, as they have no place. Other columns are not read. An empty table gives none.
+    all others; null texts are equal to each other; events without video_id or event_id
+    are dropped, as they have no place. Other columns are not read. An empty table gives none. parts: of the sorted rows; the
+    result does not depend on it.
     """
-    # events without a time come last, in stretches of their numbers
-    number = F.coalesce(F.regexp_extract("event_id", r"(\d{1,15})$", 1).try_cast("bigint"), F.lit(0))
-    chunk = F.coalesce(F.expr(f"start_ms div {int(chunk_ms)}"), F.lit(2**60) + F.floor(number / CHUNK_ROWS))
     rows = events.filter("video_id is not null and event_id is not null").select(
-        "video_id", chunk.alias("chunk"), F.col("start_ms").cast("bigint").alias("start_ms"), F.col("end_ms").cast("bigint").alias("end_ms"), "event_id", "speaker", "text")
-    ordered = rows.repartition("video_id", "chunk").sortWithinPartitions("video_id", "chunk", F.coalesce("start_ms", F.lit(2**62)), "event_id")
-    pieces = ordered.mapInPandas(_pieces, _PIECE)
-    # only runs at the border of a chunk can go on beyond it
+        "video_id", F.col("start_ms").cast("bigint").alias("start_ms"), F.col("end_ms").cast("bigint").alias("end_ms"),
+        F.regexp_extract("event_id", r"(\d{1,18})$", 1).try_cast("bigint").alias("number"), "event_id", "speaker", "text")
+    place = ["video_id", F.col("start_ms").asc_nulls_last(), "number", "event_id"]
+    ordered = rows.repartitionByRange(*([parts] if parts else []), *place).sortWithinPartitions(*place)
+    pieces = cut_lineage(ordered.mapInPandas(_pieces, _PIECE))
+    # only runs at the border of a task can go on beyond it
     order = Window.partitionBy("video_id").orderBy("chunk", "piece")
     border = pieces.filter("is_first or is_last").withColumns({
         "before": F.lag("last_text").over(order), "same_speaker": F.lag("speaker").over(order).eqNullSafe(F.col("speaker")) & F.lag("n").over(order).isNotNull(),

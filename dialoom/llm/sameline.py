@@ -40,6 +40,8 @@ CONFUSED_CHARS = (
     "未末", "日曰目", "土士", "人入八", "己已巳", "大太犬", "天夫", "王玉主", "千干于", "木本", "刀力", "田由甲申", "鸟乌", "问间", "侯候",
     "ソンリ", "シツッ", "クワケ", "ロ口", "カ力", "タ夕", "エ工", "ニ二", "ハ八", "ー一", "ヘへ", "つっ", "やゃ", "ゆゅ", "よょ", "アァ", "イィ", "ウゥ", "エェ", "オォ",
     "ぬめ", "れわね", "るろ", "さき", "はほ", "いり", "こに", "はばぱ", "ひびぴ", "ふぶぷ", "へべぺ", "ほぼぽ", "かが", "きぎ", "くぐ", "けげ", "こご", "さざ", "しじ", "すず", "せぜ", "そぞ", "ただ", "ちぢ", "てで", "とど")
+# English and Spanish words of one letter.
+_ONE_LETTER_WORDS = frozenset("aieouy")
 _UNREAD = frozenset("□�■")
 
 _CJK = r"\p{Han}\p{Hiragana}\p{Katakana}ー"
@@ -81,24 +83,33 @@ def _folded(word: str) -> str:
 
 
 def _misread_cost(a: str, b: str, limit: float) -> float:
-    """The least cost of turning a into b by losing, doubling and confusing letters; infinite beyond `limit`."""
+    """The least cost of turning a into b by losing, doubling and confusing letters; infinite beyond `limit`.
+
+    A letter that a lost next to one that b lost may be another letter, not two losses: that is allowed inside words of
+    five letters or more only.
+    """
     inf = float("inf")
     if abs(len(a) - len(b)) > limit:
         return inf
-    row = [0.0]
+    long = max(len(a), len(b)) >= 5
+    # per column: the least cost if the last letter was read, was lost from b, was lost from a
+    read, dropped, added = [0.0] + [inf] * len(b), [inf] * (len(b) + 1), [0.0]
     for j, y in enumerate(b):
-        row.append(row[-1] + (0.5 if j and b[j - 1] == y else 1.0))
+        added.append(added[-1] + (0.5 if j and b[j - 1] == y else 1.0))
+    added[0] = inf
     for i, x in enumerate(a):
         drop = 0.5 if i and a[i - 1] == x else 1.0
-        new = [row[0] + drop]
+        new_read, new_dropped, new_added = [inf], [min(read[0], dropped[0]) + drop], [inf]
         for j, y in enumerate(b):
-            add = 0.5 if j and b[j - 1] == y else 1.0
             change = 0.0 if x == y else 0.8 if (x, y) in _LETTER_PAIRS or x in _UNREAD or y in _UNREAD else inf
-            new.append(min(row[j + 1] + drop, new[j] + add, row[j] + change))
-        if min(new) > limit:
+            new_read.append(min(read[j], dropped[j], added[j]) + change)
+            new_dropped.append(min(read[j + 1], dropped[j + 1]) + drop)
+            new_added.append(min(new_read[j], new_added[j], new_dropped[j] if long and i and j else inf) + (0.5 if j and b[j - 1] == y else 1.0))
+        if min(*new_read, *new_dropped, *new_added) > limit:
             return inf
-        row = new
-    return row[-1] if row[-1] <= limit else inf
+        read, dropped, added = new_read, new_dropped, new_added
+    least = min(read[-1], dropped[-1], added[-1])
+    return least if least <= limit else inf
 
 
 def _digits(words: tuple[str, ...]) -> list[str]:
@@ -115,18 +126,26 @@ def _words_agree(a: tuple[str, ...], b: tuple[str, ...]) -> float:
             if x != y and _GROUPS.get(x, set()) & _GROUPS.get(y, set()):
                 return inf
     x, y = "".join(a), "".join(b)
-    if _bare(x) == _bare(y):
+    if _bare(x) == _bare(y) and not _digits(a + b):
         return 0.0
     lettered = not x.isdigit() and not y.isdigit()
-    x, y = _folded(x), _folded(y)
-    if x == y and lettered:
+    if _folded(x) == _folded(y) and lettered:
         return 0.5
     if _digits(a) != _digits(b):
         return inf
+    # letters that look like one are read as one, or stand for themselves
+    return min(_spelling_cost(_folded(x), _folded(y)), _spelling_cost(_bare(x), _bare(y)))
+
+
+def _spelling_cost(x: str, y: str) -> float:
     if min(len(x), len(y)) < 2:  # one letter for another, or of a word of two letters one was lost
+        short, long = sorted((x, y), key=len)
+        if len(long) == 3 and short and long[0] == short and short not in _ONE_LETTER_WORDS:
+            return 1.8  # only the first letter was read
         lost = len(x) + len(y) == 3 and (x in y or y in x)
-        return 1.0 if lost or (x, y) in _LETTER_PAIRS else inf
-    return _misread_cost(x, y, max(1.0, 0.45 * max(len(x), len(y))))
+        return 1.0 if lost or (x, y) in _LETTER_PAIRS else float("inf")
+    longest = max(len(x), len(y))
+    return _misread_cost(x, y, max(1.8 if longest >= 3 else 1.0, 0.5 * longest))
 
 
 def _chars_agree(a: tuple[str, ...], b: tuple[str, ...], before: str, after: str) -> float:
@@ -154,16 +173,21 @@ def same_line(a: str | None, b: str | None) -> bool:
     """True if the texts say the same line. Null equals null only; texts without words agree if they are equal up to repetition."""
     if a is None or b is None or a == b:
         return a == b
-    if min(len(a), len(b)) * 1.6 + 6 < max(len(a), len(b)):
-        return False
     (x, dense), (y, _) = tokens(a), tokens(b)
     if not x or not y:
         return not x and not y and a.strip()[:1] == b.strip()[:1]
     if x == y:
         return True
-    if not set(x) & set(y) and (len(x) > 2 or len(y) > 2):
+    size, other = sum(map(len, x)), sum(map(len, y))
+    if size == other and "".join(x) == "".join(y) and not _digits(x + y):
+        return True  # cut into words in another way
+    if min(size, other) * 1.6 + 6 < max(size, other):
+        return False
+    if not set(x) & set(y) and len(x) > 2 and len(y) > 2:
         return False
-    size = max(sum(map(len, x)), sum(map(len, y)))
+    # a field limit cut both texts at one length: what one lost or gained before, the other has at its end
+    equally_long = len(plain_points(a)) == len(plain_points(b))
+    size = max(size, other)
     budget, cost = max(1.6, 0.2 * size), 0.0
     ops = SequenceMatcher(None, x, y, autojunk=False).get_opcodes()
     for kind, i, j, k, m in ops:
@@ -173,8 +197,8 @@ def same_line(a: str | None, b: str | None) -> bool:
             cost += _chars_agree(x[i:j], y[k:m], x[i - 1] if i else "", x[j] if j < len(x) else "")
         elif kind == "replace":
             cost += _words_agree(x[i:j], y[k:m])
-        elif j == len(x) and m == len(y) and size >= 60 and len("".join(x[i:j] + y[k:m])) <= 3:
-            cost += 1.0  # both were cut at the same length, after a lost character
+        elif equally_long and j == len(x) and m == len(y) and cost and len("".join(x[i:j] + y[k:m])) <= 3 * cost:
+            cost += 1.0
         elif all(w in _UNREAD or len(w) == 1 and not w.isdigit() for w in x[i:j] + y[k:m]):
             cost += 1.0
         elif len(set(x[i - 1 : j + 1] + y[k - 1 : m + 1])) == 1 and i:
