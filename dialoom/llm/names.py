@@ -1,18 +1,24 @@
 """Typed names linked to the cast of a work, by merging and rematching.
 
-Every member of the cast starts as a profile of its canonical name and listed aliases. A typed spelling
-that agrees with exactly one profile is merged into it; the profile then holds that spelling and its
-initials too, and re-enters blocking, so that spellings that the rules of their script hold for a merged
-one are linked in the next round. The rounds end when nothing more merges.
+Every member of the cast starts as a profile of its canonical name and listed aliases. Typed spellings meet
+the profiles that share a block with them and are scored against them. The surest fits merge first: the
+profile then holds that spelling, its words and its initials too, re-enters blocking with its keys, and is
+scored again with the spellings still open. Every round takes the narrowest tolerance at which something merges; the
+rounds end when nothing does.
+
+Titles, their abbreviations, pet-name endings and the readings of Chinese characters are learnt from the
+aliases of all casts. Spellings of nobody in the cast are merged with each other in `group_others`.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -22,19 +28,22 @@ from dialoom.session import cut_lineage
 
 from .lookalike import comparable, plain_points
 
-# Titles before a name and their abbreviations.
-TITLES = frozenset("doctor dr professor prof sister sr brother br lady ldy lord ld captain capt cpt warden wdn sir madam mr mrs ms miss master father mother don doña señor señora sra srta".split()) - {"mother"}
 # What follows a Chinese or Japanese name in address.
-SUFFIXES = ("前辈", "小姐", "先生", "老师", "姐姐", "哥哥", "姐", "哥", "先輩", "ちゃん", "さん", "くん", "君", "様", "さま", "殿", "っち")
+SUFFIXES = ("前辈", "小姐", "先生", "老师", "姐姐", "哥哥", "姐", "哥", "先輩", "ちゃん", "さん", "くん", "君", "様", "さま", "殿")
 # Words that make a name somebody else's.
 RELATIONS = ("的", "家の", "の")
 _LINKING = frozenset("of the de del la el los las".split())
-_ABBREVIATED = {"soc": "society", "co": "company", "gld": "guild", "assoc": "association"}
+#: How badly a spelling may fit to be merged, one tolerance after the other: the same name in another form, a part or an
+#: abbreviation of it; one error; all that the rules of the scripts let pass.
+TOLERANCES = (0.75, 1.25, float("inf"))
+#: A spelling that fits a second profile nearly as well is not merged.
+MARGIN = 0.35
 #: A cast is a dictionary that people keep; more names than this are taken for an error.
 MAX_NAMES = 1_000_000
 
 _INF = float("inf")
 _TRIM = " \t　:：,，.。;；-–—*\"'|>〉»、"
+_INITIALS = re.compile(r"(?:\w\.\s*)+\w")
 _HAN = re.compile(r"[㐀-鿿]")
 _KANA = re.compile(r"[ぁ-ヺ]")
 _SYLLABLE = re.compile(r"(?:zh|ch|sh|[bpmfdtnlgkhjqxrzcsyw])?(?:iang|iong|uang|ang|eng|ong|ing|ian|iao|uan|uai|ai|ei|ao|ou|an|en|er|ia|ie|iu|in|ua|uo|ui|un|ue|a|o|e|i|u|v)")
@@ -74,10 +83,28 @@ def _word_cost(typed: str, meant: str) -> float:
     return edits(typed, meant, 2 if len(meant) >= 5 else 1 if len(meant) >= 3 else 0)
 
 
-def _without_title(words: list[str]) -> tuple[list[str], bool]:
+def abbreviates(typed: str, meant: str) -> bool:
+    """dr, prof, capt, soc: the first letter and others of the word, in their order."""
+    if not 2 <= len(typed) < len(meant) or typed[0] != meant[0]:
+        return False
+    rest = iter(meant)
+    return all(c in rest for c in typed)
+
+
+@dataclass
+class Lore:
+    """What the aliases of all casts teach: titles, pet-name endings in kana, and how Chinese characters are read."""
+
+    titles: frozenset[str] = frozenset()
+    pets: tuple[str, ...] = ()
+    readings: dict[str, str] = field(default_factory=dict)
+
+
+def _without_title(words: list[str], lore: Lore) -> tuple[list[str], bool]:
     if len(words) > 1:
         first = words[0].strip(".")
-        if first in TITLES or len(first) >= 4 and any(edits(first, t, 1) <= 1 for t in TITLES if len(t) >= 4):
+        if first in lore.titles or len(first) <= 4 and any(abbreviates(first, t) for t in lore.titles) or len(first) >= 4 and any(
+                edits(first, t, 1) <= 1 for t in lore.titles if len(t) >= 4):
             return words[1:], True
     return words, False
 
@@ -88,6 +115,7 @@ class Member:
 
     canonical: str
     aliases: list[str]
+    lore: Lore = field(default_factory=Lore)
     kind: str = ""
     words: list[str] = field(default_factory=list)
     alias_forms: list[list[str]] = field(default_factory=list)
@@ -97,7 +125,7 @@ class Member:
         name = bare(self.canonical)
         self.kind = "kana" if _KANA.search(name) else "han" if _HAN.search(name) else "latin"
         self.words = [w for w in re.split(r"[\s・·=＝]+", name) if w]
-        self.alias_forms = [_without_title(bare(a).split())[0] for a in self.aliases if a and bare(a)]
+        self.alias_forms = [_without_title(bare(a).split(), self.lore)[0] for a in self.aliases if a and bare(a)]
         self.latin = [bare(a).split() for a in self.aliases if a and a.isascii() and len(a.split()) == 2]
 
 
@@ -121,45 +149,89 @@ def learn_readings(casts: list[tuple[str, list[str]]]) -> dict[str, str]:
     return known
 
 
+def learn(casts: list[tuple[str, list[str]]]) -> Lore:
+    """casts: (canonical name, aliases). A title is the first word of an alias that goes on with words of the name; an ending of pet
+    names follows the first characters of a given name in kana, in two aliases or more."""
+    titles, endings = set(), Counter()
+    for canonical, aliases in casts:
+        name = bare(canonical).split()
+        given = re.split(r"[\s・·=＝]+", bare(canonical))[0]
+        for alias in aliases:
+            words = bare(alias or "").split()
+            if len(words) > 1 and words[0] not in name and set(words[1:]) <= set(name) and _latin(words[0]):
+                titles.add(words[0])
+            if _KANA.search(given) and len(words) == 1:
+                for k in (1, 2):
+                    if len(words[0]) > k and _folded_kana(words[0][:k]) == _folded_kana(given[:k]) and not given.startswith(words[0][: k + 1]):
+                        endings[words[0][k:]] += 1
+    return Lore(frozenset(titles), tuple(sorted(e for e, n in endings.items() if n > 1 and len(e) > 1)), learn_readings(casts))
+
+
+def _latin(word: str) -> bool:
+    return word.isalpha() and not _HAN.search(word) and not _KANA.search(word)
+
+
 class Cast:
-    """The cast of one work; `match` links a typed spelling to it."""
+    """The cast of one work; `match` links a typed spelling to it, and `costs` says how badly it fits a member's profile."""
 
-    def __init__(self, names: dict[str, list[str]], readings: dict[str, str] | None = None):
-        self.members = [Member(k, [a for a in v or [] if a]) for k, v in names.items() if k]
-        self.readings = readings or {}
+    def __init__(self, names: dict[str, list[str]], lore: Lore | None = None):
+        self.lore = lore or Lore()
+        self.readings = self.lore.readings
+        self.members = {k: Member(k, [a for a in v or [] if a], self.lore) for k, v in names.items() if k}
         self.exact: dict[str, set[str]] = {}
-        for m in self.members:
+        for m in self.members.values():
             for form in {bare(m.canonical), *(bare(a) for a in m.aliases)}:
                 if form:
                     self.exact.setdefault(form, set()).add(m.canonical)
 
     def match(self, spelling: str | None) -> tuple[str, float] | None:
         """(canonical name, cost) of the only member that the spelling fits best; None if there is none or several."""
-        if not spelling or spelling.lstrip()[:1] in "[【":
-            return None
-        name = bare(spelling)
-        if not name:
-            return None
-        if len(self.exact.get(name, ())) == 1:
-            return next(iter(self.exact[name])), 0.0
-        return _only({m.canonical: self._cost(name, spelling, m) for m in self.members})
-
-    def rematch(self, spelling: str, merged: list[tuple[str, str]]) -> tuple[str, float] | None:
-        """As `match`, with profiles that also hold the merged spellings, pairs of (canonical name, spelling)."""
-        extra: dict[str, float] = {}
-        for canonical, other in merged:
-            extra[canonical] = min(extra.get(canonical, _INF), rematch_cost(spelling, other))
-        if all(c == _INF for c in extra.values()) or not bare(spelling):
-            return None
-        return _only({m.canonical: min(self._cost(bare(spelling), spelling, m), extra.get(m.canonical, _INF)) for m in self.members})
-
-    def _cost(self, name: str, spelling: str, m: Member) -> float:
+        form = form_of(spelling)
+        return _only({k: self.cost(form, k) for k in self.members}) if form else None
+
+    def cost(self, form: str, canonical: str) -> float:
+        """How badly a form fits the name and the listed aliases of a member; infinite if it does not."""
+        if self.exact.get(form) == {canonical}:
+            return -1.0  # nobody else goes by it
+        member = self.members[canonical]
+        cost = self._cost(form, member)
+        if member.kind == "latin" and _INITIALS.fullmatch(form) and re.sub(r"\W", "", form) == "".join(w[0] for w in member.words):
+            cost = min(cost, 0.6)
+        return cost
+
+    def cost_by(self, form: str, canonical: str, merged: str) -> float:
+        """How badly a form fits the profile of a member that holds the form `merged`, too; infinite if it does not.
+
+        The merged form stands for itself, and its words for the words of the name. One error in six characters or more
+        is allowed, in fewer none.
+        """
+        cost = rematch_cost(form, merged, self.lore)
+        for variant in self._variants(canonical, merged):
+            most = 1.0 if min(len(form), len(variant.canonical)) >= 6 else 0.7
+            found = self._cost(form, variant) + 0.05
+            cost = min(cost, found) if found <= most else cost
+        return cost
+
+    @lru_cache(maxsize=20_000)  # noqa: B019 (a task has a few casts, which live as long as it does)
+    def _variants(self, canonical: str, merged: str) -> list[Member]:
+        """The name with a word of the merged form in place of its own."""
+        member, typed = self.members[canonical], _words(merged, self.lore)
+        if member.kind == "han" or len(member.words) != 2 or not 1 <= len(typed) <= 2:
+            return []
+        given, surname = member.words
+        if len(typed) == 2 and (_word_cost(typed[0], surname) < _INF or _word_cost(typed[1], given) < _INF):
+            typed = typed[::-1]
+        pairs = [(typed[0], surname), (given, typed[-1])] if len(typed) == 2 else [(typed[0], surname)]
+        mark = "・" if member.kind == "kana" else " "
+        return [Member(mark.join(p), member.aliases, self.lore) for p in pairs if p != (given, surname) and all(len(w) >= 3 for w in p)]
+
+    def _cost(self, name: str, m: Member) -> float:
         if m.kind == "kana":
             return _kana_cost(name, m)
         if m.kind == "han":
             return self._han_cost(name, m)
         words = [w for w in re.split(r"[\s,，\-/.·]+(?<!\.)|(?<=\w{2})\.\s*|\.\s+|,", name.replace("-", " ").replace(",", " ")) if w]
-        rest, titled = _without_title(words)
+        rest, titled = _without_title(words, self.lore)
         words, rest = [w.strip(".") or w for w in words], [w.strip(".") or w for w in rest]
         if len(m.words) != 2:
             return _group_cost(words, name, m)
@@ -217,7 +289,7 @@ class Cast:
 def _only(fits: dict[str, float]) -> tuple[str, float] | None:
     """(name, cost) of the one that fits clearly best."""
     costs = sorted((c, k) for k, c in fits.items() if c < _INF)
-    if not costs or len(costs) > 1 and costs[1][0] - costs[0][0] < 0.35:
+    if not costs or len(costs) > 1 and costs[1][0] - costs[0][0] < MARGIN:
         return None
     return costs[0][1], costs[0][0]
 
@@ -264,12 +336,12 @@ def _group_cost(t: list[str], name: str, m: Member) -> float:
     core = [w for w in meant if w not in _LINKING]
     if letters in ("".join(w[0] for w in meant), "".join(w[0] for w in core)) and len(letters) >= 2:
         return min(best, 0.4)
-    typed = [_ABBREVIATED.get(w, w) for w in t if w not in _LINKING]
+    typed = [w for w in t if w not in _LINKING]
     if len(typed) < 2 or len(typed) > len(core):
         return best
     left, cost = list(core), 0.0
     for word in typed:
-        found = min(((_word_cost(word, w) if not (len(word) >= 3 and w.startswith(word)) else 0.2 * (w != word)), k) for k, w in enumerate(left))
+        found = min(((0.0 if w == word else 0.2 if abbreviates(word, w) else _word_cost(word, w)), k) for k, w in enumerate(left))
         if found[0] == _INF:
             return best
         cost += found[0]
@@ -287,12 +359,14 @@ def _kana_cost(name: str, m: Member) -> float:
         return 0.0 if typed == given + surname else 0.1
     for suffix in SUFFIXES:
         if typed.endswith(suffix) and len(typed) > len(suffix) + 1:
-            inner = _kana_cost(name[: name.rindex(suffix[0])] if suffix != "っち" else typed[: -len(suffix)], m)
-            if suffix == "っち":
-                return 0.3 if given.startswith(typed[:-2]) or _folded_kana(given).startswith(_folded_kana(typed[:-2])) else inner + 0.1
-            return inner + 0.1
-    if typed.endswith("ー姫") and _folded_kana(given[:2])[:1] == _folded_kana(typed[:1]):
-        return 0.4
+            return _kana_cost(name[: name.rindex(suffix[0])], m) + 0.1
+    for ending in m.lore.pets:
+        if typed.endswith(ending) and len(typed) > len(ending):
+            short = typed[: -len(ending)]
+            if _folded_kana(given).startswith(_folded_kana(short)):
+                return 0.4 if len(short) == 1 else 0.3
+            if len(short) > 2:
+                return _kana_cost(short, m) + 0.1
     if typed == given:
         return 0.2
     for form in m.alias_forms:
@@ -329,131 +403,279 @@ def load_casts(configs: DataFrame) -> dict[str, dict[str, list[str]]]:
     return casts
 
 
-def _readings(casts: dict[str, dict[str, list[str]]]) -> dict[str, str]:
-    return learn_readings([(k, v) for c in casts.values() for k, v in c.items()])
+def form_of(spelling: str | None) -> str:
+    """The form of a spelling by which it is compared; '' for none, and for signs in brackets, which are no names."""
+    return "" if not spelling or spelling.lstrip()[:1] in "[【" else bare(spelling)
+
+
+def _words(form: str, lore: Lore) -> list[str]:
+    """The words of a form without title and marks."""
+    return [x for w in _without_title(form.split(), lore)[0] for x in re.split(r"[\W_・]+", w) if x]
 
 
-def block_keys(spelling: str) -> list[str]:
-    """The beginnings and ends by which close spellings meet, shorter ones for short spellings, and the initials in any order."""
-    letters = re.sub(r"[\W_]+", "", bare(spelling))
-    words = _words(spelling)
-    keys = {f"<{letters[:3]}", f">{letters[-3:]}"} if letters else set()
-    if 0 < len(letters) <= 6:
-        keys |= {f"<{letters[0]}", f">{letters[-1]}"}
+def block_keys(form: str, lore: Lore) -> list[str]:
+    """The keys by which a form meets those it may be a variant of: beginnings and ends of the whole and of each word, single
+    characters of short Chinese and Japanese names, and the initials in any order."""
+    words = _words(form, lore)
+    letters = "".join(words)
+    keys = set()
+    for part in {letters, *words}:
+        plain = _folded_kana(re.sub("[ーッっ]", "", part)) if _KANA.search(part) else part
+        if plain:
+            keys |= {f"<{plain[:2]}", f">{plain[-2:]}", f"<{plain[0]}" if len(plain) <= 6 else f"<{plain[:2]}", f">{plain[-1]}" if len(plain) <= 6 else f">{plain[-2:]}"}
+    if letters and _HAN.search(letters) and len(letters) <= 8:
+        keys |= {f"+{c}" for c in letters if _HAN.match(c)}
     if len(words) > 1:
-        keys.add("=" + "".join(sorted(w[0] for w in words)))
-        keys.add("=" + "".join(sorted(w[0] for w in words if w not in _LINKING)))
-    elif len(letters) <= 6:
+        keys |= {"=" + "".join(sorted(w[0] for w in words)), "=" + "".join(sorted(w[0] for w in words if w not in _LINKING))}
+    if len(letters) <= 6:
         keys.add("=" + "".join(sorted(letters)))  # it may be initials itself
     return sorted(keys)
 
 
-def _words(spelling: str) -> list[str]:
-    """The words of a spelling without title and marks."""
-    return [x for w in _without_title(bare(spelling).split())[0] for x in re.split(r"[\W_・]+", w) if x]
+def tight_keys(keys: list[str]) -> list[str]:
+    """The keys by which a form meets what is one error apart: no single letters."""
+    return [k for k in keys if len(k) > 2 or k[0] in "+="]
+
+
+def profile_keys(member: Member) -> list[str]:
+    """The keys of a name and its aliases; of Chinese names also those of their readings."""
+    lore = member.lore
+    keys = {k for name in (member.canonical, *member.aliases) for k in block_keys(bare(name), lore)}
+    if member.kind == "han":
+        target = "".join(member.words)
+        read = [lore.readings.get(c, "") for c in target]
+        if len(read) == 3:
+            whole = ["".join(read[1:]), read[0]] if all(read) else [r for r in read if r]
+            keys |= set(block_keys(" ".join(w for w in whole if w), lore)) if any(whole) else set()
+            keys |= {f"<{read[1][:2]}"} if read[1] else set()
+    for word in member.words:
+        if member.kind == "kana" and word:
+            keys.add(f"<{_folded_kana(word)[0]}")
+    return sorted(keys)
 
 
 @lru_cache(maxsize=100_000)
-def _profiled(spelling: str) -> Member:
-    """A merged spelling, taken apart as a canonical name is."""
-    return Member(" ".join(_words(spelling)), [])
+def _profiled(form: str, titles: frozenset[str]) -> Member:
+    """A merged form, taken apart as a canonical name is."""
+    return Member(" ".join(_words(form, Lore(titles))), [])
 
 
-def rematch_cost(spelling: str, merged: str) -> float:
-    """How badly a spelling fits one that is merged into a profile, by the rules of the script; infinite if it does not.
+def rematch_cost(form: str, merged: str, lore: Lore | None = None) -> float:
+    """How badly a form fits one that is merged into a profile, by the rules of the script; infinite if it does not.
 
-    A part of a merged spelling is no evidence, as the order of its parts is not known; one error is, in six characters or more.
+    A part of a merged form is no evidence, as the order of its parts is not known; one error is, in six characters or more.
     """
-    words, m = _words(spelling), _profiled(merged)
+    lore = lore or Lore()
+    words, m = _words(form, lore), _profiled(merged, lore.titles)
     typed, meant = "".join(words), "".join(m.words)
-    if not typed or not meant or spelling.lstrip()[:1] in "[【" or re.search(r"\d", typed + meant):
+    if not typed or not meant or re.search(r"\d", typed + meant):
         return _INF
     if typed == meant:
         return 0.0
-    if m.kind == "latin" and re.fullmatch(r"\s*(?:\w\.\s*){2,}", spelling) and typed == "".join(w[0] for w in m.words):
+    if m.kind == "latin" and _INITIALS.fullmatch(form) and typed == "".join(w[0] for w in m.words):
         return 0.6
     most = 1.0 if min(len(typed), len(meant)) >= 6 else 0.7
     if m.kind == "han":
-        cost = Cast({})._han_cost(bare(spelling), m) if len(typed) > 1 and len(meant) > 1 and not bare(spelling).isascii() else _INF
+        cost = Cast({})._han_cost(form, m) if len(typed) > 1 and len(meant) > 1 and not form.isascii() else _INF
         return cost if cost <= 1.0 else _INF
     if len(words) == len(m.words):
-        cost = _kana_cost(bare(spelling), m) if m.kind == "kana" else _person_cost(words, m) if len(words) == 2 else _INF
+        cost = _kana_cost(form, m) if m.kind == "kana" else _person_cost(words, m) if len(words) == 2 else _INF
         if min(len(typed), len(meant)) >= 6:
             cost = min(cost, edits(" ".join(words), " ".join(m.words), 1))
     else:
         cost = _INF
     if m.kind == "latin" and len(m.words) > 2:
-        cost = min(cost, _group_cost(words, bare(spelling), m))
+        cost = min(cost, _group_cost(words, form, m))
     return cost if cost <= most else _INF
 
 
-def link_spellings(spellings: DataFrame, configs: DataFrame) -> DataFrame:
-    """(work_id, speaker, canonical): the typed spellings that name a member of the work's cast.
+_FORM = "work_id string, speaker string, form string, words string, keys array<string>, tight array<string>"
+_FIT = "work_id string, form string, canonical string, cost double"
+
+
+def _tasks(df: DataFrame) -> int:
+    """Tasks for what is small in bytes but costly to compute, and would be packed into one."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    spellings: distinct (work_id, speaker). Null and blank spellings, and those that fit no member or
-    several equally well, give no row. The canonical name itself is linked to itself.
-    """
-    casts = load_casts(configs)
-    shared = spellings.sparkSession.sparkContext.broadcast((casts, _readings(casts)))  # at most MAX_NAMES names
 
-    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        named, readings = shared.value
-        made: dict[str, Cast] = {}
+def _forms(spellings: DataFrame, lore: Lore, works: frozenset[str] | None) -> DataFrame:
+    """Spellings with their form and keys; of the given works only."""
+    shared = spellings.sparkSession.sparkContext.broadcast((lore, works))  # at most MAX_NAMES names
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, named = shared.value
         for batch in batches:
             out = []
             for work, speaker in zip(batch["work_id"], batch["speaker"]):
-                if work not in named:
-                    continue
-                if work not in made:
-                    made[work] = Cast(named[work], readings)
-                found = made[work].match(speaker)
-                out.append((work, speaker, found[0] if found else None, block_keys(speaker)))
-            yield pd.DataFrame(out, columns=["work_id", "speaker", "canonical", "keys"])
-
-    schema = "work_id string, speaker string, canonical string, keys array<string>"
-    state = cut_lineage(spellings.filter("speaker is not null and trim(speaker) <> ''").mapInPandas(first, schema))
-
-    def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        named, readings = shared.value
-        made: dict[str, Cast] = {}
+                form = form_of(speaker) if named is None or work in named else ""
+                if form:
+                    keys = block_keys(form, known)
+                    out.append((work, speaker, form, " ".join(sorted(_words(form, known))), keys, tight_keys(keys)))
+            yield pd.DataFrame(out, columns=["work_id", "speaker", "form", "words", "keys", "tight"])
+
+    return spellings.filter("speaker is not null and trim(speaker) <> ''").repartition(_tasks(spellings)).mapInPandas(run, _FORM)
+
+
+def link_spellings(spellings: DataFrame, configs: DataFrame) -> DataFrame:
+    """(work_id, speaker, canonical, round): the typed spellings that name a member of the work's cast, and the round that merged them.
+
+    spellings: distinct (work_id, speaker). Null and blank spellings, signs in brackets, and spellings that fit no profile
+    or several equally well, give no row. The canonical name itself is linked to itself.
+    """
+    casts = load_casts(configs)
+    lore = learn([(k, v) for c in casts.values() for k, v in c.items()])
+    spark = spellings.sparkSession
+    shared = spark.sparkContext.broadcast((casts, lore))  # at most MAX_NAMES names
+    typed = cut_lineage(_forms(spellings, lore, frozenset(casts)))
+    forms = cut_lineage(typed.dropDuplicates(["work_id", "form"]).drop("speaker"))
+
+    def score(pairs: DataFrame) -> DataFrame:
+        """(work_id, form, canonical, cost) of pairs (work_id, form, canonical, merged); merged is null for the profile as it was listed."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            named, known = shared.value
+            made: dict[str, Cast] = {}
+            for batch in batches:
+                out = []
+                for work, form, canonical, merged in zip(batch["work_id"], batch["form"], batch["canonical"], batch["merged"]):
+                    if work not in made:
+                        made[work] = Cast(named[work], known)
+                    cost = made[work].cost(form, canonical) if merged is None else made[work].cost_by(form, canonical, merged)
+                    if cost < _INF:
+                        out.append((work, form, canonical, cost))
+                yield pd.DataFrame(out, columns=["work_id", "form", "canonical", "cost"])
+
+        spread = pairs.distinct().repartition(_tasks(pairs), "work_id", "form")
+        return spread.mapInPandas(run, _FIT)
+
+    def blocked(some: DataFrame, profiles: DataFrame, keys: str) -> DataFrame:
+        return some.select("work_id", "form", F.explode(keys).alias("key")).join(
+            profiles.select("work_id", "canonical", "merged", F.explode(keys).alias("key")), ["work_id", "key"]).drop("key")
+
+    members = [(w, k, m) for w, cast in casts.items() for k, m in Cast(cast, lore).members.items()]
+    profiles = spark.createDataFrame([(w, k, None, profile_keys(m)) for w, k, m in members], "work_id string, canonical string, merged string, keys array<string>")
+    # what the profiles hold already: the words of names and aliases
+    listed = spark.createDataFrame([(w, k, " ".join(sorted(_words(bare(name), lore)))) for w, k, m in members for name in (k, *m.aliases)], "work_id string, canonical string, words string")
+    key = ["work_id", "form"]
+    linked = spark.createDataFrame([], "work_id string, form string, canonical string, words string, round int")
+    fits = cut_lineage(score(blocked(forms, profiles, "keys")))
+    for number in count(1):
+        costs = F.array_sort(F.collect_list(F.struct("cost", "canonical")))  # one for each member in the block at most
+        best = fits.groupBy(*key).agg(costs.alias("c")).filter((F.size("c") == 1) | (F.col("c")[1]["cost"] - F.col("c")[0]["cost"] >= MARGIN))
+        clear = cut_lineage(best.select(*key, F.col("c")[0]["canonical"].alias("canonical"), F.col("c")[0]["cost"].alias("cost")))
+        surest = clear.agg(F.min("cost")).first()[0]
+        if surest is None:
+            break
+        tolerance = next(t for t in TOLERANCES if surest <= t)
+        merged = clear.filter(F.col("cost") <= tolerance).join(forms, key)
+        # the richer profiles re-enter blocking with what is still open
+        held = listed.unionByName(linked.select("work_id", "canonical", "words"))
+        richer = merged.join(held, ["work_id", "canonical", "words"], "left_anti").dropDuplicates(["work_id", "canonical", "words"])
+        linked = linked.unionByName(merged.select(*key, "canonical", "words", F.lit(number).alias("round")))
+        still_open = forms.join(linked.select(*key), key, "left_anti")
+        again = fits.join(merged.select(*key), key, "left_anti").unionByName(score(blocked(still_open, richer.withColumn("merged", F.col("form")), "tight")))
+        fits = cut_lineage(again.groupBy(*key, "canonical").agg(F.min("cost").alias("cost")))
+    return typed.join(linked, key).select("work_id", "speaker", "canonical", "round")
+
+
+def one_error_apart(a: str, b: str) -> bool:
+    """One character changed, lost, added or swapped with its neighbour."""
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    start = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    a, b = a[start:], b[start:]
+    while a and b and a[-1] == b[-1]:
+        a, b = a[:-1], b[:-1]
+    return max(len(a), len(b)) <= 1 or len(a) == len(b) == 2 and a == b[::-1]
+
+
+_MODULUS, _BASE = (1 << 61) - 1, 911_382_323
+
+
+def error_keys(form: str) -> list[tuple[str, bool]]:
+    """(key, is_whole): two forms one error apart share a key. Forms that share one by a changed or swapped character are one
+    error apart from each other; forms that lost a character to share one are so from the form that is this key as a whole."""
+    n = len(form)
+    before, after, power = [0], [0], [1]
+    for c in form:
+        before.append((before[-1] * _BASE + ord(c) + 1) % _MODULUS)
+        power.append(power[-1] * _BASE % _MODULUS)
+    for k, c in enumerate(reversed(form)):
+        after.append((after[-1] + (ord(c) + 1) * power[k]) % _MODULUS)
+    keys = {(f"w{n}:{before[n]}", True)}
+    for k in range(n):
+        left, right = before[k], after[n - k - 1]
+        without = (left * power[n - k - 1] + right) % _MODULUS
+        keys |= {(f"w{n - 1}:{without}", False), (f"s{n}:{k}:{without}", False)}
+        if k + 1 < n and form[k] != form[k + 1]:
+            low, high = sorted(form[k : k + 2])
+            swapped = (before[k] * power[n - k - 2] + after[n - k - 2]) % _MODULUS
+            keys.add((f"t{n}:{k}:{low}{high}:{swapped}", False))
+    return sorted(keys)
+
+
+def group_others(spellings: DataFrame, linked: DataFrame) -> DataFrame:
+    """(work_id, speaker, entity): the spellings that name nobody in the cast, merged with each other.
+
+    spellings: (work_id, speaker, n), with the number of uses; linked: (work_id, speaker) of the cast. Spellings of one work are
+    one entity if their words are the same in any order, or if one error in six characters or more parts them, in as many
+    steps as it takes. The entity is named by its most frequent spelling. No pairs within a block are made: forms that
+    share a key are linked to its least one.
+    """
+    others = spellings.join(linked.select("work_id", "speaker"), ["work_id", "speaker"], "left_anti")
+    typed = cut_lineage(_forms(others.select("work_id", "speaker").distinct(), Lore(), None).select(
+        "work_id", "speaker", F.array_join(F.array_sort(F.split("form", r"[\s,]+")), " ").alias("form")))
+    forms = typed.select("work_id", "form").distinct()
+
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for work, speaker, merged in zip(batch["work_id"], batch["speaker"], batch["merged"]):
-                if work not in made:
-                    made[work] = Cast(named[work], readings)
-                found = made[work].rematch(speaker, [(m["canonical"], m["merged"]) for m in merged])
-                if found:
-                    out.append((work, speaker, found[0]))
-            yield pd.DataFrame(out, columns=["work_id", "speaker", "canonical"])
-
-    listed = [(w, k, f, block_keys(f)) for w, cast in casts.items() for k, forms in cast.items() for f in {k, *forms} if k and f]
-    cast_rows = spellings.sparkSession.createDataFrame(listed, "work_id string, canonical string, merged string, keys array<string>")
-    while True:  # each round links a spelling at least
-        open_ = state.filter("canonical is null").select("work_id", "speaker", F.explode("keys").alias("key"))
-        profile = state.filter("canonical is not null").select("work_id", "canonical", F.col("speaker").alias("merged"), "keys").unionByName(cast_rows)
-        pairs = open_.join(profile.withColumn("key", F.explode("keys")).drop("keys"), ["work_id", "key"])
-        blocks = pairs.groupBy("work_id", "speaker").agg(F.collect_set(F.struct("canonical", "merged")).alias("merged"))
-        merged = cut_lineage(blocks.mapInPandas(again, "work_id string, speaker string, canonical string"))
-        if merged.isEmpty():
+            out = [(work, form, key, whole) for work, form in zip(batch["work_id"], batch["form"]) if len(form) >= 6 and not re.search(r"\d", form) for key, whole in error_keys(form)]
+            yield pd.DataFrame(out, columns=["work_id", "form", "key", "whole"])
+
+    keys = forms.repartition(_tasks(forms)).mapInPandas(keyed, "work_id string, form string, key string, whole boolean")
+    # a key has as many forms as one place has characters, or a form has characters to lose
+    met = keys.groupBy("work_id", "key").agg(F.collect_set("form").alias("forms"), F.min(F.when(F.col("whole"), F.col("form"))).alias("own"))
+    leader = F.when(F.startswith("key", F.lit("w")), F.col("own")).otherwise(F.array_min("forms"))
+    links = met.filter(F.size("forms") > 1).select("work_id", leader.alias("a"), F.explode("forms").alias("b")).filter("a <> b").distinct()
+    apart = F.pandas_udf(lambda a, b: pd.Series([one_error_apart(x, y) for x, y in zip(a, b)], dtype=bool), "boolean")
+    edges = cut_lineage(links.filter(apart("a", "b")))
+    both = cut_lineage(edges.unionByName(edges.select("work_id", F.col("b").alias("a"), F.col("a").alias("b"))))
+    labels = cut_lineage(forms.withColumn("label", F.col("form")))
+    while True:  # every round hands the least form on to the next neighbours, and to the neighbours of its label
+        near = both.join(labels.withColumnRenamed("form", "a"), ["work_id", "a"]).groupBy("work_id", F.col("b").alias("form")).agg(F.min("label").alias("near"))
+        least = labels.join(near, ["work_id", "form"], "left").select("work_id", "form", "label", F.least("label", "near").alias("next"))
+        jump = least.select("work_id", F.col("form").alias("next"), F.col("next").alias("beyond"))
+        stepped = cut_lineage(least.join(jump, ["work_id", "next"], "left").select("work_id", "form", "label", F.least("next", "beyond").alias("next")))
+        labels = stepped.select("work_id", "form", F.col("next").alias("label"))
+        if stepped.filter("label <> next").isEmpty():
             break
-        state = cut_lineage(state.join(merged.withColumnRenamed("canonical", "found"), ["work_id", "speaker"], "left").select(
-            "work_id", "speaker", F.coalesce("canonical", "found").alias("canonical"), "keys"))
-    return state.filter("canonical is not null").select("work_id", "speaker", "canonical")
+    entities = typed.join(labels, ["work_id", "form"]).join(spellings, ["work_id", "speaker"])
+    named = entities.groupBy("work_id", "label").agg(F.max_by("speaker", F.struct("n", "speaker")).alias("entity"))
+    return entities.join(named, ["work_id", "label"]).select("work_id", "speaker", "entity")
+
+
+#: Spellings up to which their table is broadcast to the events.
+BROADCAST_ROWS = 200_000
 
 
 def link_events(events: DataFrame, runs: DataFrame, configs: DataFrame) -> DataFrame:
-    """(video_id, event_id, speaker, canonical): every event whose speaker names a member of its work's cast in another
+    """(video_id, event_id, speaker, canonical, round): every event whose speaker names a member of its work's cast in another
     spelling than the canonical one.
 
     events: (video_id, event_id, speaker); runs: (video_id, work_id). Redelivered rows give one row.
     Null speakers, videos without a work and works without a cast give none; an empty table gives none.
     Other columns are not read.
     """
-    work = runs.filter("work_id is not null").select("video_id", "work_id").dropDuplicates(["video_id"])
-    typed = events.filter("speaker is not null").select("video_id", "speaker").distinct()
-    by_video = cut_lineage(typed.join(work, "video_id"))
+    by_video = cut_lineage(typed_speakers(events, runs))
     linked = link_spellings(by_video.select("work_id", "speaker").distinct(), configs)
-    # what is written in the canonical way is not joined back, so that no frequent name makes a hot key
-    table = by_video.join(linked, ["work_id", "speaker"]).filter("speaker <> canonical").select("video_id", "speaker", "canonical")
+    table = cut_lineage(by_video.join(linked, ["work_id", "speaker"]).filter("speaker <> canonical").select("video_id", "speaker", "canonical", "round"))
+    if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        table = F.broadcast(table)  # else the join shuffles, and adaptive execution splits what is skewed
     return events.select("video_id", "event_id", "speaker").join(table, ["video_id", "speaker"]).select(
-        "video_id", "event_id", "speaker", "canonical").distinct()
+        "video_id", "event_id", "speaker", "canonical", "round").distinct()
+
+
+def typed_speakers(events: DataFrame, runs: DataFrame) -> DataFrame:
+    """(video_id, work_id, speaker, n): the speakers of each video of a work, counted before they are shuffled."""
+    work = runs.filter("work_id is not null").select("video_id", "work_id").dropDuplicates(["video_id"])
+    return events.filter("speaker is not null").groupBy("video_id", "speaker").agg(F.count("*").alias("n")).join(work, "video_id")

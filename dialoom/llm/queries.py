@@ -41,9 +41,17 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_spellings(spark: SparkSession, folder: str) -> DataFrame:
-    """The spellings of each member of a cast with the number of events."""
+    """The spellings of each member of a cast, the round that merged them, and the number of events."""
     found = names.link_events(_table(spark, folder, "dialogue_events"), _table(spark, folder, "video_runs"), _table(spark, folder, "work_configs"))
-    return found.groupBy("canonical", "speaker").agg(F.count("*").alias("n_events"))
+    return found.groupBy("canonical", "speaker", "round").agg(F.count("*").alias("n_events"))
+
+
+def p4_others(spark: SparkSession, folder: str) -> DataFrame:
+    """The spellings of whoever is in no cast, merged with each other."""
+    typed = cut_lineage(names.typed_speakers(_table(spark, folder, "dialogue_events"), _table(spark, folder, "video_runs")))
+    spellings = typed.groupBy("work_id", "speaker").agg(F.sum("n").alias("n"))
+    linked = names.link_spellings(spellings.select("work_id", "speaker"), _table(spark, folder, "work_configs"))
+    return names.group_others(spellings, linked)
 
 
 def _forms(spark: SparkSession, folder: str) -> DataFrame:
@@ -111,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_shares": p2_shares,
     "p4_found": p4_found,
     "p4_spellings": p4_spellings,
+    "p4_others": p4_others,
     "p5_found": p5_found,
     "p5_forms": p5_forms,
     "p6_found": p6_found,
