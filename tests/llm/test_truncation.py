@@ -88,3 +88,42 @@ def test_edges(make_events):
     assert [(r.event_id, r.why) for r in X.detect_cuts(make_events(rows)).collect()] == [("event_000004", "broken")]
     assert [r.event_id for r in X.detect_cuts(make_events(rows, source=None)).collect()] == ["event_000004"]
     assert X.detect_cuts(make_events([])).count() == 0 and X.cut_shares(make_events([])).count() == 0
+
+
+@pytest.mark.parametrize("text", ["It rose by 50%", "We met at AT&T", "Love R&D", "C:\\", "I <3 you", "a < b and so on", 'a board of 6" width', "Tom & Jerry", "<br>Titles", "<p>One line", 'He said "no"', "{a} and (b)", "Q&A", "me&we"])
+def test_everyday_signs_are_no_evidence(text):
+    ending = X.read_ending(text)
+    assert not ending.broken and not ending.unclosed
+
+
+@pytest.mark.parametrize("text, unclosed", [('He said "I will go and', '"'), ("<b>bold text without a close", "<"), ("open {brace and", "{"), ("a (b [c) d", ""), ("<i>x</i> <div class='a'>y", "<"), ('"a" and "b', '"'), ("(a. Then (b) c.", "(")])
+def test_signs_left_open(text, unclosed):
+    assert X.read_ending(text).unclosed == unclosed and X._judge("s", text, X._Sources({}, {}, frozenset("s"))) == ("broken" if unclosed else "ask")
+
+
+@pytest.mark.parametrize("text", ["and then&quo", "and then&am", "and &#12", "the name \\u00", "the \\x", "lost�", "see <a href=\"" + "x" * 5000, "so </di"])
+def test_half_an_escape_is_evidence_anywhere(text):
+    assert X.read_ending(text).broken
+
+
+def test_what_may_be_half_an_escape_is_held_against_the_source(spark):
+    rows = [("v", f"e{k}", "web/x", text) for k, text in enumerate(["a%20b%2Cc.", "d%20e.", "f%20", "It rose by 50%", "go to x%2"])]
+    rows += [("v", f"f{k}", "deck/x", text) for k, text in enumerate(["It rose by 50%.", "It rose by 50%", "go to x%2"])]
+    df = spark.createDataFrame(rows, "video_id string, event_id string, source_file string, text string")
+    assert {r.event_id for r in X.detect_cuts(df).collect() if r.why == "broken"} == {"e3", "e4"}
+    habits = {r.source: r.escapes for r in X.source_habits(df.select(X.capture_source(df["source_file"]).alias("source"), "text")).collect()}
+    assert habits == {"web": ["percent"], "deck": []}
+
+
+def test_an_open_sign_after_a_full_stop_counts_where_a_source_closes_what_it_opens(spark):
+    rows = [("v", f"a{k:03d}", "tidy/x", f"Scene {k} (at night). It rains.") for k in range(40)] + [("v", "a999", "tidy/x", "Scene (at night. It rains.")]
+    rows += [("v", f"b{k:03d}", "loose/x", f"(At night {k}. It rains.") for k in range(40)]
+    df = spark.createDataFrame(rows, "video_id string, event_id string, source_file string, text string")
+    assert {r.event_id for r in X.detect_cuts(df).collect()} == {"a999"}
+
+
+def test_blocks_of_the_filter_do_not_matter(corpus, monkeypatch):
+    df, _ = corpus
+    whole = {tuple(r) for r in X.detect_cuts(df).collect()}
+    monkeypatch.setattr(X, "BLOCK_CONTEXTS", 700)
+    assert {tuple(r) for r in X.detect_cuts(df).collect()} == whole
