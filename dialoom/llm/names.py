@@ -15,10 +15,10 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import count
+from itertools import combinations, count
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -432,9 +432,15 @@ def block_keys(form: str, lore: Lore) -> list[str]:
     return sorted(keys)
 
 
-def tight_keys(keys: list[str]) -> list[str]:
-    """The keys by which a form meets what is one error apart: no single letters."""
-    return [k for k in keys if len(k) > 2 or k[0] in "+="]
+def word_keys(words: Iterable[str]) -> list[str]:
+    """Keys that a word shares with every word one error from it: its beginning or its end; pairs of characters of Chinese words."""
+    keys = set()
+    for word in words:
+        if _HAN.search(word):
+            keys |= {"".join(sorted(p)) for p in combinations(word, 2)} if len(word) <= 8 else {word[:2], word[-2:]}
+        sizes = {2 if len(word) < 6 else 3, 2 if len(word) == 6 else 3 if len(word) == 5 else 2 if len(word) < 6 else 3}
+        keys |= {f"<{word[:k]}" for k in sizes} | {f">{word[-k:]}" for k in sizes}
+    return sorted(keys)
 
 
 def profile_keys(member: Member) -> list[str]:
@@ -489,7 +495,7 @@ def rematch_cost(form: str, merged: str, lore: Lore | None = None) -> float:
     return cost if cost <= most else _INF
 
 
-_FORM = "work_id string, speaker string, form string, words string, keys array<string>, tight array<string>"
+_FORM = "work_id string, speaker string, form string, keys array<string>, tight array<string>"
 _FIT = "work_id string, form string, canonical string, cost double"
 
 
@@ -509,9 +515,8 @@ def _forms(spellings: DataFrame, lore: Lore, works: frozenset[str] | None) -> Da
             for work, speaker in zip(batch["work_id"], batch["speaker"]):
                 form = form_of(speaker) if named is None or work in named else ""
                 if form:
-                    keys = block_keys(form, known)
-                    out.append((work, speaker, form, " ".join(sorted(_words(form, known))), keys, tight_keys(keys)))
-            yield pd.DataFrame(out, columns=["work_id", "speaker", "form", "words", "keys", "tight"])
+                    out.append((work, speaker, form, block_keys(form, known), word_keys(_words(form, known))))
+            yield pd.DataFrame(out, columns=["work_id", "speaker", "form", "keys", "tight"])
 
     return spellings.filter("speaker is not null and trim(speaker) <> ''").repartition(_tasks(spellings)).mapInPandas(run, _FORM)
 
@@ -545,19 +550,35 @@ def link_spellings(spellings: DataFrame, configs: DataFrame) -> DataFrame:
                         out.append((work, form, canonical, cost))
                 yield pd.DataFrame(out, columns=["work_id", "form", "canonical", "cost"])
 
-        spread = pairs.distinct().repartition(_tasks(pairs), "work_id", "form")
-        return spread.mapInPandas(run, _FIT)
+        # one shuffle serves the distinct pairs, too
+        return pairs.repartition(_tasks(pairs), "work_id", "form").distinct().mapInPandas(run, _FIT)
 
     def blocked(some: DataFrame, profiles: DataFrame, keys: str) -> DataFrame:
         return some.select("work_id", "form", F.explode(keys).alias("key")).join(
             profiles.select("work_id", "canonical", "merged", F.explode(keys).alias("key")), ["work_id", "key"]).drop("key")
 
-    members = [(w, k, m) for w, cast in casts.items() for k, m in Cast(cast, lore).members.items()]
-    profiles = spark.createDataFrame([(w, k, None, profile_keys(m)) for w, k, m in members], "work_id string, canonical string, merged string, keys array<string>")
-    # what the profiles hold already: the words of names and aliases
-    listed = spark.createDataFrame([(w, k, " ".join(sorted(_words(bare(name), lore)))) for w, k, m in members for name in (k, *m.aliases)], "work_id string, canonical string, words string")
-    key = ["work_id", "form"]
-    linked = spark.createDataFrame([], "work_id string, form string, canonical string, words string, round int")
+    def lent(merged: DataFrame) -> DataFrame:
+        """(work_id, canonical, merged, words, tight): the merged forms that bring words into a profile which its names do not have."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            named, known = shared.value
+            for batch in batches:
+                out = []
+                for work, canonical, form in zip(batch["work_id"], batch["canonical"], batch["form"]):
+                    own = {w for name in (canonical, *named[work][canonical]) if name for w in _words(bare(name), known)}
+                    new = [w for w in _words(form, known) if w not in own and len(w) > 1]
+                    if new:
+                        out.append((work, canonical, form, " ".join(sorted(new)), word_keys(new)))
+                yield pd.DataFrame(out, columns=["work_id", "canonical", "merged", "words", "tight"])
+
+        rows = merged.select("work_id", "canonical", "form").mapInPandas(run, "work_id string, canonical string, merged string, words string, tight array<string>")
+        return rows.dropDuplicates(["work_id", "canonical", "words"])
+
+    listed = [(w, k, None, profile_keys(m)) for w, cast in casts.items() for k, m in Cast(cast, lore).members.items()]
+    profiles = spark.createDataFrame(listed, "work_id string, canonical string, merged string, keys array<string>")
+    key, profile = ["work_id", "form"], ["work_id", "canonical", "words"]
+    linked = spark.createDataFrame([], "work_id string, form string, canonical string, round int")
+    held = spark.createDataFrame([], "work_id string, canonical string, words string")
     fits = cut_lineage(score(blocked(forms, profiles, "keys")))
     for number in count(1):
         costs = F.array_sort(F.collect_list(F.struct("cost", "canonical")))  # one for each member in the block at most
@@ -566,14 +587,13 @@ def link_spellings(spellings: DataFrame, configs: DataFrame) -> DataFrame:
         surest = clear.agg(F.min("cost")).first()[0]
         if surest is None:
             break
-        tolerance = next(t for t in TOLERANCES if surest <= t)
-        merged = clear.filter(F.col("cost") <= tolerance).join(forms, key)
+        merged = clear.filter(F.col("cost") <= next(t for t in TOLERANCES if surest <= t))
+        linked = linked.unionByName(merged.select(*key, "canonical", F.lit(number).alias("round")))
         # the richer profiles re-enter blocking with what is still open
-        held = listed.unionByName(linked.select("work_id", "canonical", "words"))
-        richer = merged.join(held, ["work_id", "canonical", "words"], "left_anti").dropDuplicates(["work_id", "canonical", "words"])
-        linked = linked.unionByName(merged.select(*key, "canonical", "words", F.lit(number).alias("round")))
+        richer = cut_lineage(lent(merged).join(held, profile, "left_anti"))
+        held = held.unionByName(richer.select(*profile))
         still_open = forms.join(linked.select(*key), key, "left_anti")
-        again = fits.join(merged.select(*key), key, "left_anti").unionByName(score(blocked(still_open, richer.withColumn("merged", F.col("form")), "tight")))
+        again = fits.join(merged.select(*key), key, "left_anti").unionByName(score(blocked(still_open, richer, "tight")))
         fits = cut_lineage(again.groupBy(*key, "canonical").agg(F.min("cost").alias("cost")))
     return typed.join(linked, key).select("work_id", "speaker", "canonical", "round")
 
