@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dialoom.session import cut_lineage
+
 # Letters of the same look. The first string of a line has the Latin letters, the second
 # the Cyrillic ones, the third the Greek ones, in the same order; a blank stands for none.
 LOOKALIKE_LETTERS = [
@@ -44,6 +46,8 @@ _PLAIN = regex.compile(r"[\x20-\x7e¡-¬®-ÿ–-‟…、-〩ぁ-ゖ゛-ヿ一-
 _WORD = regex.compile(r"[\p{Latin}\p{Greek}\p{Cyrillic}\p{Nd}][\p{Latin}\p{Greek}\p{Cyrillic}\p{Nd}\p{M}'’\-" + LOOKALIKE_SIGNS[0] + "]*")
 _KANA_RUN = regex.compile(f"[{LOOKALIKE_KANJI}ァ-ヺー・]*[ァ-ヺ][{LOOKALIKE_KANJI}ァ-ヺー・]*")
 _KANJI = frozenset(LOOKALIKE_KANJI)
+#: Deviating spellings up to which their table is broadcast.
+BROADCAST_ROWS = 200_000
 _SCRIPT = {"LATIN": "L", "CYRILLIC": "C", "GREEK": "G"}
 
 
@@ -282,19 +286,39 @@ def normal_forms(df: DataFrame, keys: list[str], fields: list[str]) -> DataFrame
     values = df.select(*keys, F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("value")) for f in fields])).alias("_v"))
     values = values.select(*keys, "_v.field", "_v.value").filter("value is not null and value <> ''")
     key_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in values.select(*keys).schema.fields)
-    schema = f"{key_schema}, field string, value string, plain string, suspects array<string>"
+    counted = ["_skeleton", "_spelling", "_n"]
+    schema = f"{key_schema}, field string, value string, plain string, suspects array<string>, _skeleton string, _spelling string, _n bigint"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The values that may need another form, and the spellings of all values, counted within the task."""
+        total: Counter = Counter()
+
+        def flush() -> pd.DataFrame:
+            out = pd.DataFrame([(skeleton(w), w, n) for w, n in total.items()], columns=counted)
+            total.clear()
+            return out.reindex(columns=[*keys, "field", "value", "plain", "suspects", *counted]).astype({c: object for c in (*keys, "field", "value", "plain", "suspects")}).where(lambda f: f.notna(), None)
+
         for batch in batches:
             plain = [plain_points(v) for v in batch["value"]]
-            suspects = [[] if p.isascii() else sorted({w for w in words(p) if is_suspect(w)}) for p in plain]
+            found = [words(p) for p in plain]
+            for w in found:
+                total.update(w)
+            suspects = [[] if p.isascii() else sorted({x for x in w if is_suspect(x)}) for p, w in zip(plain, found)]
             keep = [p != v or bool(s) for p, v, s in zip(plain, batch["value"], suspects)]
-            out = batch.assign(plain=plain, suspects=suspects)
-            yield out[keep]
+            out = batch.assign(plain=plain, suspects=suspects)[keep]
+            yield out.assign(_skeleton=None, _spelling=None, _n=pd.array([pd.NA] * len(out), dtype="Int64"))
+            if len(total) > 300_000:
+                yield flush()
+        yield flush()
 
-    odd = values.mapInPandas(run, schema).distinct()
+    seen = cut_lineage(values.mapInPandas(run, schema))  # every text is parsed once
+    odd = seen.filter("_spelling is null").drop(*counted).distinct()
+    counts = seen.filter("_spelling is not null").groupBy(F.col("_skeleton").alias("skeleton"), F.col("_spelling").alias("spelling")).agg(F.sum("_n").alias("n"))
+    changes = cut_lineage(_with_forced(counts))
+    if changes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        changes = F.broadcast(changes)  # else the join shuffles, and adaptive execution splits what is skewed
     pairs = odd.filter(F.size("suspects") > 0).select(*keys, "field", F.explode("suspects").alias("spelling"))
-    known = pairs.join(representatives(values), "spelling").groupBy(*keys, "field").agg(
+    known = pairs.join(changes, "spelling").groupBy(*keys, "field").agg(
         F.collect_set(F.struct("spelling", "representative")).alias("pairs"))
     joined = odd.join(known, [*keys, "field"], "left").select(*keys, "field", "value", "plain", "pairs")
 
