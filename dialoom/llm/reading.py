@@ -36,8 +36,8 @@ MIN_CHARS = 80
 NAME_SHARE = 0.9
 
 _WORD = re.compile(r"[^\W\d_]+")
-_MARKUP = re.compile(r"<[^<>]{0,200}>|&#?\w{1,8};")
-_LABEL = re.compile(r"^[ \t]*\[?\d{1,2}:\d\d:\d\d[.,\d]*\]?\s*[^:：\n]{1,40}[:：]", re.M)
+_MARKUP = re.compile(r"<[^<>]*>|&#?\w+;")
+_LABEL = re.compile(r"^[ \t]*\[?\d{1,2}:\d\d:\d\d[.,\d]*\]?\s*[^:：\n]+[:：]", re.M)
 _TIME = re.compile(r"\d:\d\d:\d\d")
 _SENTENCE_END = re.compile(r"[.!?。！？…]+")
 _COMMA = re.compile(r"[,，、;；]")
@@ -146,7 +146,8 @@ def _most_used(words: DataFrame, which: Column, languages: int) -> DataFrame:
 def _ranked(words: DataFrame, size: int, languages: int) -> DataFrame:
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     return (_most_used(words, F.col("n_capital") < NAME_SHARE * F.col("n"), languages)
-            .withColumn("rank", F.row_number().over(order) - 1).filter(F.col("rank") < size).select("lang", "word", "rank"))
+            .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= size)  # in this form Spark keeps the first rows of each task only
+            .select("lang", "word", (F.col("place") - 1).alias("rank")))
 
 
 def vocabularies(docs: DataFrame, size: int = VOCABULARY, languages: int = LANGUAGES) -> DataFrame:
