@@ -19,7 +19,8 @@ from dialoom.session import cut_lineage
 
 #: mix_targets is a small table that people write; more rows than this are taken for an error.
 MAX_TARGETS = 100_000
-_LAMBDA_MAX = 60.0
+#: First bracket of the solutions, in units of the mean size.
+_LAMBDA = 60.0
 
 
 @dataclass
@@ -54,9 +55,10 @@ def solve(sizes: DataFrame, targets: dict[str, tuple[float, int]], total: float
 
     sizes: (source, n_tokens, n_docs), the histogram. total: tokens of the mixture; the largest that
     the caps allow where it is null. Targets of sources without tokens cannot be met: the other shares
-    are scaled up to sum to 1.
+    are scaled up to sum to 1. RuntimeError names the sources whose balance `steps` steps do not find.
     """
-    have = {r.source: r for r in sizes.filter(F.col("source").isin(list(targets))).groupBy("source").agg(
+    wanted = sizes.sparkSession.createDataFrame([(s,) for s in sorted(targets)], "source string")
+    have = {r.source: r for r in sizes.join(F.broadcast(wanted), "source").groupBy("source").agg(
         F.sum("n_docs").alias("docs"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("tokens")).collect() if r.tokens}
     whole = sum(targets[s][0] for s in have)
     if not have:
@@ -67,8 +69,8 @@ def solve(sizes: DataFrame, targets: dict[str, tuple[float, int]], total: float
     elif total > most * (1 + 1e-9):
         raise ValueError(f"the caps allow {most:.0f} tokens at these shares, not {total:.0f}")
     out = {s: Balance(targets[s][0], targets[s][1], r.docs, r.tokens, total * targets[s][0] / whole, r.tokens / r.docs) for s, r in have.items()}
-    low = dict.fromkeys(out, -_LAMBDA_MAX)
-    high = dict.fromkeys(out, _LAMBDA_MAX)
+    low = dict.fromkeys(out, -_LAMBDA)
+    high = dict.fromkeys(out, _LAMBDA)
     open_ = set()
     for s, b in out.items():
         if b.goal >= b.cap * b.tokens * (1 - 1e-9):
@@ -78,32 +80,33 @@ def solve(sizes: DataFrame, targets: dict[str, tuple[float, int]], total: float
     for _ in range(steps):
         if not open_:
             break
-        lam = _lookup({s: out[s].lam / out[s].scale for s in open_})
-        cap = _lookup({s: float(out[s].cap) for s in open_})
-        rate = F.least(cap, F.exp(F.least(lam * F.col("n_tokens"), F.log(cap) + 1)))
+        now = sizes.sparkSession.createDataFrame([(s, out[s].lam / out[s].scale, float(out[s].cap)) for s in sorted(open_)], "source string, lam double, cap double")
+        cap = F.col("cap")
+        rate = F.least(cap, F.exp(F.least(F.col("lam") * F.col("n_tokens"), F.log(cap) + 1)))
         mass = rate * F.col("n_docs") * F.col("n_tokens")
-        got = sizes.filter(F.col("source").isin(list(open_))).groupBy("source").agg(
+        got = sizes.join(F.broadcast(now), "source").groupBy("source").agg(  # at most MAX_TARGETS rows
             F.sum(mass).alias("value"),
             F.sum(F.when(rate < cap, mass * F.col("n_tokens")).otherwise(0.0)).alias("slope")).collect()
         for s, value, slope in got:
             b = out[s]
             gap = b.goal - value
-            if abs(gap) <= tolerance * b.goal or high[s] - low[s] < 1e-12:
+            if abs(gap) <= tolerance * b.goal or high[s] - low[s] < 1e-12 * max(1.0, abs(b.lam)):
                 open_.discard(s)
                 continue
+            # the bracket grows until the solution is inside
+            if gap > 0 and b.lam > high[s] / 2:
+                high[s] *= 4
+            elif gap < 0 and b.lam < low[s] / 2:
+                low[s] *= 4
             low[s], high[s] = (b.lam, high[s]) if gap > 0 else (low[s], b.lam)
             newton = b.lam + gap * b.scale / slope if slope > 0 else math.nan
             # the dual has kinks at the cap: a step out of the bracket is replaced by halving it
             b.lam = newton if low[s] < newton < high[s] else (low[s] + high[s]) / 2
+    if open_:
+        raise RuntimeError(f"no balance after {steps} steps for the sources {sorted(open_)}")
     return out
 
 
-def _lookup(values: dict[str, float]):
-    keys = sorted(values)
-    pairs = [x for k in keys for x in (F.lit(k), F.lit(values[k]))]
-    return F.create_map(*pairs)[F.col("source")]
-
-
 def with_rates(docs: DataFrame, balance: dict[str, Balance], id_col: str, seed: int) -> DataFrame:
     """docs of the balanced sources with rate and the place `u` of each document in [0, 1)."""
     spark = docs.sparkSession
