@@ -448,3 +448,9 @@ def p3_attempts(spark, folder):
 @query
 def p3_crops(spark, folder):
     return inlining.flat_table(_shredded(spark, folder), "crops", ["kind", "file"])
+
+
+@query
+def p3_unreadable(spark, folder):
+    """The records that give no rows, and why."""
+    return inlining.readability(A.table(spark, folder, "raw_records"))

@@ -94,3 +94,30 @@ def test_schema_graph_finds_repeated_shared_and_recursive_types(spark):
 @pytest.mark.parametrize("name, expected", [("ocrCandidates", "ocr_candidates"), ("OCRCandidates", "ocr_candidates"), ("ocr-candidates", "ocr_candidates"), ("lines", "lines")])
 def test_snake_case(name, expected):
     assert I.snake_case(name) == expected
+
+
+def test_a_deep_record_is_read_whole(spark):
+    depth = 20_000
+    deep = '{"eventId": "e", "note": ' + '{"a": [' * depth + '"x, \\"y\\""' + "]}" * depth + ', "crops": [{"file": "f"}, 3]}'
+    rows = [(1, deep), (2, deep[:-1]), (3, None), (4, " \n"), (5, "[1]"), (6, "null"), (7, '{"crops": "\\"\\\\\\"[{}]\\\\\\"\\""}')]
+    df = spark.createDataFrame(rows, "raw_id bigint, payload string")
+    assert {(r.raw_id, r.event_id, r.parent_path, r.child_path) for r in I.child_links(df).collect()} == {(1, "e", "$", "$.crops[0]"), (7, None, "$", "$.crops[0]")}
+    assert tuple(I.readability(df).first()) == (7, 1, 1, 1, 2)
+
+
+@pytest.mark.parametrize("text", ['{"a": [1, -2.5e3, true, null, {"b": {}}], "c": "\\u00e9\\n", "a2": []}', "[]", "{}", ' [ { } , [ ] ] ', '"x"', "3", "true"])
+def test_the_deep_parser_reads_what_the_other_one_reads(text):
+    assert I.parse_deep(text) == json.loads(text)
+
+
+@pytest.mark.parametrize("text", ["", "[1,]", "{", '{"a" 1}', "{1: 2}", "[1] 2", "[1}", '{"a": }', "nul"])
+def test_the_deep_parser_refuses_what_is_broken(text):
+    with pytest.raises(ValueError):
+        I.parse_deep(text)
+
+
+def test_deep_values_are_written_whole(spark):
+    deep = "[" * 30_000 + '1, "x"' + "]" * 30_000
+    assert I.dump_deep(json.loads('{"a": [1, [], {}, {"b": null}], "c": "é\\""}')) == '{"a": [1, [], {}, {"b": null}], "c": "é\\""}'
+    df = spark.createDataFrame([(1, '{"event_id": "e", "note": ' + deep + "}")], "raw_id bigint, payload string")
+    assert I.shred(df, set()).first()["values"]["note"] == deep
