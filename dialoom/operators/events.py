@@ -45,6 +45,23 @@ def review_cards(events: DataFrame) -> DataFrame:
     return events.filter("review_required").select(*KEY, card.alias("card"))
 
 
+#: Cards on one page of a review.
+PAGE_CARDS = 500
+PAGE_TOP = """<!DOCTYPE html><html><head><meta charset="utf-8"><title>Review</title><style>.card{border:1px solid #999;margin:8px;padding:8px}</style></head><body><button onclick="save()">Save</button>"""
+PAGE_END = """<script>function save(){var out=[].map.call(document.querySelectorAll(".card"),function(c){return{event_id:c.dataset.event,speaker:c.querySelector("input").value,text:c.querySelector("textarea").value,accepted:true}});var a=document.createElement("a");a.href=URL.createObjectURL(new Blob([JSON.stringify(out)],{type:"application/json"}));a.download="corrections.json";a.click()}</script></body></html>"""
+
+
+def review_pages(events: DataFrame, cards: int = PAGE_CARDS) -> DataFrame:
+    """(video_id, page, html): self-contained pages of the flagged events, whose corrections can be saved as JSON.
+
+    Event numbers cut a video into pages, so that no page grows with the video.
+    """
+    made = review_cards(events).withColumn("page", F.floor(F.coalesce(number_of(F.col("event_id")), F.lit(0)) / cards).cast("bigint"))
+    ordered = F.array_sort(F.collect_list(F.struct("event_id", "card")))  # `cards` of them at most
+    whole = F.array_join(F.transform(ordered, lambda c: c["card"]), "")
+    return made.groupBy("video_id", "page").agg(F.concat(F.lit(PAGE_TOP), whole, F.lit(PAGE_END)).alias("html"))
+
+
 def artifact_columns(events: DataFrame, save_crops: bool = False) -> DataFrame:
     """The image files that belong to each event: crops if asked for or flagged, the whole frame if flagged."""
     flagged = F.coalesce("review_required", F.lit(False))

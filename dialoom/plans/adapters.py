@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from html import escape
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,3 +94,22 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
 def signal(spark: SparkSession, folder: str) -> DataFrame:
     """A numeric timeline per user."""
     return table(spark, folder, "events").select(F.col("user_id").alias("key"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1000000).alias("ts"), "value", "event_id")
+
+
+def books(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, content): the chapters of each work as an e-book; what is not read stands between them."""
+    rows = table(spark, folder, "documents").filter("source = 'novel_chapter' and work_id is not null").select("work_id", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+
+    def bind(chapters: pd.DataFrame) -> pd.DataFrame:
+        chapters = chapters.sort_values("doc_id")
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w") as z:
+            z.writestr("META-INF/container.xml", '<container><rootfiles><rootfile full-path="in/b.opf"/></rootfiles></container>')
+            items = "".join(f'<item id="c{d}" href="{d}.xhtml" media-type="application/xhtml+xml"/>' for d in chapters["doc_id"])
+            spine = "".join(f'<itemref idref="c{d}"/><itemref idref="cover"/>' for d in chapters["doc_id"])
+            z.writestr("in/b.opf", f'<package><manifest>{items}<item id="cover" href="c.png" media-type="image/png"/></manifest><spine>{spine}</spine></package>')
+            for d, text in zip(chapters["doc_id"], chapters["text"]):
+                z.writestr(f"in/{d}.xhtml", f"<html><body><p>{escape(text)}</p></body></html>".encode("utf-8", "replace"))
+        return pd.DataFrame({"path": [chapters["work_id"].iloc[0]], "content": [out.getvalue()]})
+
+    return rows.groupBy("work_id").applyInPandas(bind, "path string, content binary")  # a book is one file, whatever makes it

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dialoom.functions.text import CONTENT, OBJECTIONS, PUNCTUATION_ONLY, WHITE
+from dialoom.operators.events import PAGE_END, PAGE_TOP
 from dialoom.operators.persona import UNSPACED
 from dialoom.sources.books import INLINE_SPACE, LINE_END
 
@@ -226,4 +227,16 @@ ORACLE_SQL: dict[str, str] = {
     "eval_review_rate": f"with {_EV} select video_id, count(*) n_events, count(*) filter (review_required) n_review, round(count(*) filter (review_required) / count(*), 6) review_rate from ev group by all",
     "eval_speaker_accuracy": f"""with {_EV}, c as (select video_id, event_id, arg_max(speaker, submitted_at) meant from corrections where accepted and speaker is not null group by all)
         select count(*) n_checked, count(*) filter (coalesce(speaker, '') = meant) n_right, round(count(*) filter (coalesce(speaker, '') = meant) / count(*), 6) accuracy from ev join c using (video_id, event_id)""",
+    "event_files": f"""with {_EV} select video_id, event_id, start_ms, end_ms, speaker, "text", confidence, review_required, source_file from ev where speaker is not null or review_required""",
+    "event_file_tail": f"""with {_NUM} select arg_max(event_id, "number") last_event_id, count(*) event_count from num where video_id = (select max(video_id) from video_runs where status = 'running')""",
+    "correction_files": """select video_id, event_id, speaker, "text", accepted from corrections qualify row_number() over (partition by video_id, event_id order by submitted_at desc nulls last, reviewer desc nulls last,
+        "text" desc nulls last, speaker desc nulls last, accepted desc nulls last) = 1""",
+    "config_files": "select work_id, name, target_fps, review_threshold, ocr_engine, null::varchar error from work_configs",
+    "recognised_files": f"""with s as (select video_id, event_id, min(start_ms) ms, max("text") t from spoken_events group by all having min(start_ms) is not null and max("text") is not null)
+        select video_id, count(*) n_lines, min({_STAMP('ms')}) first_stamp from s group by all""",
+    "review_pages": f"""with {_NUM}, c as (select video_id, "number" // 50 page, event_id, '<div class="card" data-event="' || {_ESC('event_id')} || '"><span class="time">' || {_STAMP('start_ms')}
+            || '</span><input name="speaker" value="' || {_ESC("coalesce(speaker, '')")} || '"><textarea name="text">' || {_ESC('"text"')} || '</textarea></div>' card from num where review_required)
+        select video_id, page, md5({_SQL(PAGE_TOP)} || string_agg(card, '' order by event_id) || {_SQL(PAGE_END)}) digest from c group by all""",
+    "book_chapters": f"""with d as (select *, row_number() over (partition by work_id order by doc_id) k from documents where source = 'novel_chapter' and work_id is not null)
+        select work_id path, cast(2 * (k - 1) as int) place, doc_id || '.xhtml' href, null::varchar error from d where {_STRIP("coalesce(\"text\", '')")} <> ''""",
 }

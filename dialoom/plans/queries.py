@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from dialoom.functions import text as T
 from dialoom.operators import evaluate, fusion, inlining, merge, persona, regions, sampling, segment, speaker
 from dialoom.operators import events as E
-from dialoom.sources import books
+from dialoom.session import shared_folder
+from dialoom.sources import books, records, sinks
 from dialoom.streaming.segments import windowed_counts
 
 from . import adapters as A
@@ -454,3 +456,68 @@ def p3_crops(spark, folder):
 def p3_unreadable(spark, folder):
     """The records that give no rows, and why."""
     return inlining.readability(A.table(spark, folder, "raw_records"))
+
+
+def _fresh(spark, name):
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def event_files(spark, folder):
+    """Events written as JSON lines, replaced by those with a speaker, and read again."""
+    path = _fresh(spark, "events")
+    columns = ["video_id", "event_id", "start_ms", "end_ms", "speaker", "text", "confidence", "review_required", "source_file"]
+    sinks.write_events(A.events(spark, folder).select(*columns), path)
+    sinks.replace_events(records.read_events(spark, path).filter("speaker is not null or review_required").select(*columns), path)
+    return records.read_events(spark, path, strict=True).select(*columns)
+
+
+@query
+def event_file_tail(spark, folder):
+    """The last event and the number of events of one file."""
+    path = _fresh(spark, "tail")
+    one = A.table(spark, folder, "video_runs").agg(F.max(F.when(F.col("status") == "running", F.col("video_id"))).alias("video_id"))
+    rows = A.events(spark, folder).join(F.broadcast(one), "video_id").sort("event_id").coalesce(1)  # one file has one writer
+    sinks.write_events(rows, path)
+    return records.read_tail(spark, path)
+
+
+@query
+def correction_files(spark, folder):
+    """Corrections of each video in a file of its own; the last one of an event counts."""
+    path = _fresh(spark, "corrections")
+    place = F.struct("submitted_at", "reviewer", "text", "speaker", "accepted")
+    one = F.struct(place.alias("place"), F.struct("video_id", "event_id", "speaker", "text", "accepted").alias("c"))
+    lists = A.table(spark, folder, "corrections").groupBy(F.col("video_id").alias("v")).agg(F.array_sort(F.collect_list(one)).alias("all"))  # what people typed for a video
+    lists.select("v", F.to_json(F.transform("all", lambda x: x["c"])).alias("value")).repartition("v").write.partitionBy("v").text(path)
+    read = records.read_corrections(spark, f"{path}/v=*")
+    return read.groupBy("video_id", "event_id").agg(F.max_by(F.struct("speaker", "text", "accepted"), "position").alias("c")).select("video_id", "event_id", "c.*")
+
+
+@query
+def config_files(spark, folder):
+    path = _fresh(spark, "configs")
+    rows = A.table(spark, folder, "work_configs")
+    rows.select("work_id", F.to_json(F.struct(*[F.col(c) for c in rows.columns], F.lit(1).alias("unknown"))).alias("value")).repartition("work_id").write.partitionBy("work_id").text(path)
+    return records.read_work_configs(spark, f"{path}/work_id=*").drop("file")
+
+
+@query
+def recognised_files(spark, folder):
+    """Lines of recognised speech; a second run finds every video done and writes nothing."""
+    path = _fresh(spark, "recognised")
+    rows = E.distinct_events(A.table(spark, folder, "spoken_events")).filter("start_ms is not null and text is not null")
+    for _ in range(2):
+        sinks.write_recognised(rows, path)
+    return spark.read.text(path).groupBy("video_id").agg(F.count("*").alias("n_lines"), F.min(F.left("value", F.lit(10))).alias("first_stamp"))
+
+
+@query
+def review_pages(spark, folder):
+    return E.review_pages(A.events(spark, folder), 50).select("video_id", "page", F.md5(F.encode("html", "utf-8")).alias("digest"))
+
+
+@query
+def book_chapters(spark, folder):
+    """The chapters of e-books in the order of their spines."""
+    return books.chapters(A.books(spark, folder)).select("path", "place", "href", "error")

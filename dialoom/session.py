@@ -27,17 +27,23 @@ def get_spark(app: str = "dialoom", master: str | None = None, **conf: str) -> S
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """`df` written to the shared checkpoint folder, so that lost executors cost no recomputation of it.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate files that all executors share.
 
-    The folder is the session's `spark.checkpoint.dir`. Where neither that setting nor a folder of the
+    It is the session's `spark.checkpoint.dir`. Where neither that setting nor a folder of the
     context is there, a local master gets a temporary one; on a cluster that is an error, as no other
     machine could read it.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir")
         if not folder and not (context.master or "").startswith("local["):
             raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="dialoom-checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """`df` written to the `shared_folder`, so that lost executors cost no recomputation of it."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=eager)

@@ -147,7 +147,12 @@ def chapters_of(content: bytes) -> list[tuple[int, str, str]]:
 
 def read_chapters(spark: SparkSession, path: str, pattern: str = "*.epub") -> DataFrame:
     """(path, place, href, text, error): the chapters of all books under a path; a book that cannot be read gives one row with its error."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    return chapters(files)
+
+
+def chapters(files: DataFrame) -> DataFrame:
+    """`read_chapters` of files (path, content)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -159,7 +164,7 @@ def read_chapters(spark: SparkSession, path: str, pattern: str = "*.epub") -> Da
                 out = pd.DataFrame(rows, columns=["path", "place", "href", "text", "error"])
                 yield out.astype({"place": "Int32"})
 
-    return files.mapInPandas(run, "path string, place int, href string, text string, error string")
+    return files.select("path", "content").mapInPandas(run, "path string, place int, href string, text string, error string")
 
 
 def join_chapters(chapters: DataFrame, key: str = "path", place: str = "place", text: str = "text") -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field, fields
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,36 @@ def read_events(spark: SparkSession, path: str, strict: bool = False) -> DataFra
     return parsed.filter(F.col(f"r.{_CORRUPT}").isNull()).select("r.*").drop(_CORRUPT)
 
 
+def read_tail(spark: SparkSession, path: str) -> DataFrame:
+    """(last_event_id, event_count) of a file of JSON lines: the id of the last line and the number of lines that are not blank;
+    an empty id and 0 if any of them cannot be read."""
+    lines = spark.read.text(path).filter(F.trim("value") != "").select("value", F.monotonically_increasing_id().alias("place"))
+    event = F.get_json_object("value", "$.event_id")
+    broken = F.json_object_keys("value").isNull()
+    found = lines.agg(F.max_by(event, "place").alias("last"), F.count("*").alias("n"), F.max(broken).alias("broken"))
+    usable = ~F.coalesce("broken", F.lit(False))
+    return found.select(F.when(usable, F.coalesce("last", F.lit(""))).otherwise("").alias("last_event_id"), F.when(usable, F.col("n")).otherwise(0).alias("event_count"))
+
+
+def read_work_configs(spark: SparkSession, path: str) -> DataFrame:
+    """(file, work_id, name, target_fps, review_threshold, ocr_engine, error): the settings in the JSON files under a path, one work
+    in each; a file that holds none gives a row with its error."""
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for file, text in zip(batch["file"], batch["value"]):
+                try:
+                    c = work_config(json.loads(text))
+                    out.append((file, c.work_id, c.name, c.target_fps, c.review_threshold, c.ocr_engine, None))
+                except (ValueError, TypeError) as error:
+                    out.append((file, None, None, None, None, None, str(error)))
+            yield pd.DataFrame(out, columns=["file", "work_id", "name", "target_fps", "review_threshold", "ocr_engine", "error"])
+
+    return files.mapInPandas(run, "file string, work_id string, name string, target_fps double, review_threshold double, ocr_engine string, error string")
+
+
 def skipped_lines(spark: SparkSession, path: str) -> DataFrame:
     """(n_lines, n_blank, n_read, n_skipped) of a file of JSON lines."""
     lines = spark.read.text(path)

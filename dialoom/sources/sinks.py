@@ -7,12 +7,13 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dialoom.functions import text as T
 from dialoom.operators import events as E
 
 
 def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
-    """JSON lines; nulls stay out of the records."""
-    events.write.mode(mode).json(path)
+    """JSON lines with all fields, null ones too: a record without one could not be read again."""
+    events.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
 def replace_events(events: DataFrame, path: str) -> None:
@@ -24,7 +25,7 @@ def replace_events(events: DataFrame, path: str) -> None:
     spark = events.sparkSession
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     fresh, old = f"{path}.{uuid.uuid4().hex}", f"{path}.{uuid.uuid4().hex}"
-    events.write.mode("errorifexists").json(fresh)
+    events.write.mode("errorifexists").option("ignoreNullFields", "false").json(fresh)
     fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
     had = fs.exists(hadoop(path))
     if had and not fs.rename(hadoop(path), hadoop(old)):
@@ -44,9 +45,27 @@ def write_transcripts(events: DataFrame, path: str) -> None:
         ordered.select("video_id", F.concat("line", F.lit("\n")).alias("value")).write.mode("overwrite").partitionBy("video_id").text(f"{path}/{name}")
 
 
-def write_review_page(events: DataFrame, path: str) -> None:
-    """The cards of the flagged events, one file per partition of the page's body."""
-    E.review_cards(events).select(F.col("card").alias("value")).write.mode("overwrite").text(path)
+def write_review_pages(events: DataFrame, path: str) -> None:
+    """The pages of `review_pages`, a file each, partitioned by video and page."""
+    E.review_pages(events).select("video_id", "page", F.col("html").alias("value")).repartition("video_id", "page").write.mode("overwrite").partitionBy("video_id", "page").text(path)
+
+
+def write_books(books: DataFrame, path: str, key: str = "path") -> None:
+    """The text of each book (key, text) as a file of its own."""
+    books.select(key, F.col("text").alias("value")).repartition(key).write.mode("overwrite").partitionBy(key).text(path)
+
+
+def write_recognised(segments: DataFrame, path: str) -> None:
+    """Lines `[HH:MM:SS] text` of recognised speech (video_id, start_ms, text), partitioned by video; videos with a folder under `path` are skipped."""
+    spark = segments.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    there = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if there.exists(hadoop(path)) and len(there.globStatus(hadoop(f"{path}/video_id=*"))):
+        written = spark.read.text(path).select("video_id").distinct()  # the folders alone would do, but the driver need not hold them
+        segments = segments.join(written, "video_id", "left_anti")
+    lines = segments.select("video_id", "start_ms", F.concat(T.stamp(F.col("start_ms")), F.lit(" "), T.strip(F.col("text"))).alias("value"))
+    ordered = lines.repartitionByRange("video_id", "start_ms").sortWithinPartitions("video_id", "start_ms", "value")
+    ordered.select("video_id", "value").write.mode("append").partitionBy("video_id").text(path)
 
 
 def write_batch_summary(runs: DataFrame, path: str) -> None:
