@@ -172,6 +172,8 @@ ORACLE_SQL: dict[str, str] = {
     "jsonl_tail": f"with {_NUM} select video_id, arg_max(event_id, \"number\") last_event_id, count(*) event_count from num group by all",
     "resume_cut": f"""with {_EV} select ev.video_id, ev.event_id from ev left join (select video_id, floor(duration_processed * 500) done from video_runs where duration_processed is not null) r using (video_id)
         where done is null or start_ms > done""",
+    "resume_points": f"""with {_EV} select r.video_id, cast(floor(duration_processed * 1000) as bigint) last_processed_ms, count(ev.event_id) event_count from video_runs r left join ev using (video_id)
+        where duration_processed is not null group by all""",
     "spine_order": """with d as (select * from documents where work_id is not null)
         select s.work_id book, s.doc_id place, m.source || '/' || m.doc_id href from d s join d m on m.work_id = s.work_id and m.doc_id = s.doc_id and m.lang is not null where s.source = 'novel_chapter'""",
     "chapter_concat": """with x as (select work_id, string_agg("text", chr(10) || chr(10) || '---' || chr(10) || chr(10) order by doc_id, "text") t from documents

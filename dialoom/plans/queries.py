@@ -245,6 +245,15 @@ def resume_cut(spark, folder):
     return E.after_checkpoint(A.events(spark, folder), done).select("video_id", "event_id")
 
 
+@query
+def resume_points(spark, folder):
+    """Where checkpointed videos go on; a checkpoint that names another last event than the written ones would be an error."""
+    rows = A.events(spark, folder)
+    done = A.table(spark, folder, "video_runs").filter("duration_processed is not null").select("video_id", F.floor(F.col("duration_processed") * 1000).alias("last_processed_ms"))
+    checkpoints = done.join(E.last_event(rows).drop("event_count"), "video_id", "left")
+    return E.resume_points(rows, checkpoints)
+
+
 @query
 def spine_order(spark, folder):
     docs = A.table(spark, folder, "documents").filter("work_id is not null")
